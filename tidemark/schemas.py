@@ -58,5 +58,5 @@ SERIES_RECORD = "data string, valor string"
 QUOTE_DOCUMENT = (
     "results array<struct<historicalDataPrice: array<struct<"
     "date: bigint, open: double, high: double, low: double, close: double, "
-    "volume: bigint, adjustedClose: double>>>>"
+    "volume: double, adjustedClose: double>>>>"
 )

@@ -1 +1,6 @@
 """Queries over the test tables and their SQL counterparts."""
+
+from workload import macro_queries, market_queries  # noqa: F401
+from workload.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
