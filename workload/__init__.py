@@ -1,6 +1,12 @@
 """Queries over the test tables and their SQL counterparts."""
 
-from workload import macro_queries, market_queries  # noqa: F401
+from workload import (  # noqa: F401
+    macro_queries,
+    market_queries,
+    quality_queries,
+    source_queries,
+    table_queries,
+)
 from workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
