@@ -60,13 +60,15 @@ def refresh_table(
     keys: Sequence[str],
     date_col: str,
     full_refresh: bool = False,
+    by_month: bool = False,
 ) -> None:
     """Delete and insert in the stored table, or replace it.
 
     ``batch`` is already cut to its look-back; only its months are rewritten.
+    ``by_month`` as for ``write_table``.
     """
     if full_refresh or not table_exists(spark, path):
-        write_table(batch, path, date_col)
+        write_table(batch, path, date_col, by_month=by_month)
         return
     rows = materialize(batch, "refresh-batch")
     months = months_in(rows, date_col)

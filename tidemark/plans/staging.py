@@ -54,7 +54,7 @@ def typed_prices(raw: DataFrame) -> DataFrame:
     )
 
 
-def price_groups(raw: DataFrame, max_rows: int = MAX_ROWS) -> RowGroups:
+def price_groups(raw: DataFrame, max_rows: int | None = MAX_ROWS) -> RowGroups:
     """Typed quotes grouped for a look at the day before."""
     return group_rows(typed_prices(raw), ["ticker"], "trade_date", lookback=1, max_rows=max_rows)
 
@@ -69,6 +69,6 @@ def with_returns(groups: RowGroups) -> DataFrame:
     ).withColumn("has_corporate_event", corporate_event(F.col("dividends"), F.col("stock_splits")))
 
 
-def stg_market_prices(raw: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
+def stg_market_prices(raw: DataFrame, max_rows: int | None = MAX_ROWS) -> DataFrame:
     """Daily quotes with the log return against the previous quote."""
     return with_returns(price_groups(raw, max_rows))

@@ -73,11 +73,22 @@ def write_sorted(df: DataFrame, path: str, order_by: Sequence[str]) -> None:
     ).parquet(path)
 
 
-def write_table(df: DataFrame, path: str, date_col: str, order_by: Sequence[str] = ()) -> None:
-    """Replace a whole table, one folder per month."""
-    _by_month(df, date_col, order_by).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static"
-    ).partitionBy(MONTH).parquet(path)
+def write_table(
+    df: DataFrame, path: str, date_col: str, order_by: Sequence[str] = (), by_month: bool = False
+) -> None:
+    """Replace a whole table, one folder per month.
+
+    ``by_month`` states that the rows already lie together by month, as those
+    read from such a table do, and saves the shuffle that gathers them.
+    """
+    rows = df.withColumn(MONTH, month_of(date_col))
+    if not by_month:
+        rows = _rebalanced(rows)
+    if order_by:
+        rows = rows.sortWithinPartitions(MONTH, *order_by)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        MONTH
+    ).parquet(path)
 
 
 def replace_months(df: DataFrame, path: str, date_col: str) -> None:
@@ -86,7 +97,7 @@ def replace_months(df: DataFrame, path: str, date_col: str) -> None:
     The new files are staged and moved in when the job commits, so ``df`` may
     be derived from the same table.
     """
-    _by_month(df, date_col, ()).write.mode("overwrite").option(
+    _rebalanced(df.withColumn(MONTH, month_of(date_col))).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(MONTH).parquet(path)
 
@@ -96,7 +107,6 @@ def months_in(df: DataFrame, date_col: str) -> list[str]:
     return sorted(r[0] for r in df.select(month_of(date_col)).distinct().collect())
 
 
-def _by_month(df: DataFrame, date_col: str, order_by: Sequence[str]) -> DataFrame:
-    # Rebalancing gathers small months into few files and splits a hot one.
-    rows = df.withColumn(MONTH, month_of(date_col)).hint("rebalance", F.col(MONTH))
-    return rows.sortWithinPartitions(MONTH, *order_by) if order_by else rows
+def _rebalanced(rows: DataFrame) -> DataFrame:
+    """Small months gathered into few files, a hot month split over several."""
+    return rows.hint("rebalance", F.col(MONTH))
