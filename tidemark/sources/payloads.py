@@ -126,8 +126,7 @@ def parse_series(
 
 def read_quote_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """One row per payload, ticker and text, so that a bad one harms no other."""
-    reader = spark.read.schema("value string, ticker string")
-    return reader.option("wholetext", multi_line).text(path)
+    return spark.read.schema("value string, ticker string").text(path, wholetext=multi_line)
 
 
 def parse_quotes(
