@@ -44,14 +44,9 @@ def _split(df, keys, max_rows):
     runs = {"total": running_sum(v), "peak": running_max(v), "latest": last_known(v)}
     groups = group_rows(df, keys, "d", max(FRAMES) - 1, runs, max_rows)
     assert groups.is_split
-    return groups.finish(
-        groups.rows.select(
-            "*",
-            F.lag("v").over(groups.window).alias("previous"),
-            *(F.sum("v").over(groups.trailing(n)).alias(f"sum_{n}") for n in FRAMES),
-            *(groups.running(name).alias(name) for name in runs),
-        )
-    )
+    windows = {"previous": F.lag("v").over(groups.window)}
+    windows |= {f"sum_{n}": F.sum("v").over(groups.trailing(n)) for n in FRAMES}
+    return groups.finish(groups.with_windows(windows)).select(*df.columns, *windows, *runs)
 
 
 @pytest.mark.parametrize("max_rows", [7, 50, 300])

@@ -20,5 +20,4 @@ def forward_fill(
     """Replace missing values by the latest known one of the same key."""
     runs = {c: last_known(F.col(c)) for c in columns}
     groups = group_rows(df, keys, order_by, runs=runs, max_rows=max_rows)
-    filled = groups.rows.withColumns({c: groups.running(c) for c in columns})
-    return groups.finish(filled).select(*df.columns)
+    return groups.finish(groups.with_windows({})).select(*df.columns)

@@ -1,11 +1,11 @@
 """Row-based windows that do not need a whole key in one task.
 
 ``Window.partitionBy(key)`` sends every row of a key to one task, and a window
-without keys sends the whole table. ``group_rows`` first counts rows per key
-and calendar block, a pruned scan with map-side combine. While every key has at
-most ``max_rows`` rows, the ordinary window over one exchange is the best plan
-and is used unchanged. Keys above that are cut into chunks of consecutive
-blocks:
+without keys sends the whole table. ``group_rows`` first counts rows per key, a
+scan of the key column with map-side combine. While every key has at most
+``max_rows`` rows, the ordinary window over one exchange is the best plan and is
+used unchanged. Keys above that are cut into chunks of consecutive calendar
+blocks, counted per key and block:
 
 * chunks begin at exact row counts, so each holds about ``max_rows`` rows;
 * the blocks that hold the last ``lookback`` rows before a chunk are copied
@@ -30,6 +30,7 @@ from tidemark.session import materialize
 MAX_ROWS = 1_000_000
 
 _BLOCK, _OWN, _CHUNK, _REACH = "_block", "_own_chunk", "_chunk", "_reached_chunks"
+_COPY = "_is_copy"
 
 
 @dataclass(frozen=True)
@@ -89,22 +90,31 @@ class RowGroups:
         """Frame of the current row and the ``size - 1`` rows before it."""
         return self.window.rowsBetween(1 - size, Window.currentRow)
 
-    def running(self, name: str) -> Column:
-        """The declared running value ``name``, current row included."""
-        run = self.runs[name]
+    def with_windows(self, columns: Mapping[str, Column]) -> DataFrame:
+        """``rows`` with window columns and with the running values by name.
+
+        All of them come from one pass over the sorted rows.
+        """
         frame = self.window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
         if not self.is_split:
-            return run.over_rows(lambda value: value).over(frame)
-        own_rows = F.col(_CHUNK) == F.col(_OWN)
-        local = run.over_rows(lambda value: F.when(own_rows, value)).over(frame)
-        return run.merge(F.col(_carried(name)), local)
+            runs = {n: r.over_rows(lambda value: value).over(frame) for n, r in self.runs.items()}
+            return self.rows.withColumns({**columns, **runs})
+
+        def own(value: Column) -> Column:
+            return F.when(~F.col(_COPY), value)
+
+        local = {_local(n): r.over_rows(own).over(frame) for n, r in self.runs.items()}
+        merged = {
+            n: r.merge(F.col(_carried(n)), F.col(_local(n))) for n, r in self.runs.items()
+        }
+        return self.rows.withColumns({**columns, **local}).withColumns(merged).drop(*local)
 
     def finish(self, df: DataFrame) -> DataFrame:
         """Drop copied rows and helper columns from a frame built on ``rows``."""
         if not self.is_split:
             return df
-        helpers = [_BLOCK, _OWN, _CHUNK, *(_carried(name) for name in self.runs)]
-        return df.filter(F.col(_CHUNK) == F.col(_OWN)).drop(*helpers)
+        helpers = [_CHUNK, _COPY, *(_carried(name) for name in self.runs)]
+        return df.filter(~F.col(_COPY)).drop(*helpers)
 
 
 def group_rows(
@@ -124,20 +134,28 @@ def group_rows(
     states that the keys are already known to be small and skips the count.
     """
     runs = dict(runs or {})
-    if max_rows is not None:
-        layout = materialize(
-            _chunk_layout(df, keys, order_by, lookback, runs, max_rows, block), "row-groups"
-        )
-        if not layout.isEmpty():
-            rows = _with_chunks(df, layout, keys, order_by, runs, block)
-            return RowGroups(rows, tuple(keys), order_by, runs, is_split=True)
-    return RowGroups(df, tuple(keys), order_by, runs, is_split=False)
+    if max_rows is None or not _has_large_key(df, keys, max_rows):
+        return RowGroups(df, tuple(keys), order_by, runs, is_split=False)
+    layout = materialize(
+        _chunk_layout(df, keys, order_by, lookback, runs, max_rows, block), "row-groups"
+    )
+    rows = _with_chunks(df, layout, keys, order_by, runs, block)
+    return RowGroups(rows, tuple(keys), order_by, runs, is_split=True)
+
+
+def _has_large_key(df: DataFrame, keys: Sequence[str], max_rows: int) -> bool:
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    return not counts.filter(F.col("_rows") > max_rows).isEmpty()
 
 
 def _carried(name: str) -> str:
     return f"_carried_{name}"
 
 
+def _local(name: str) -> str:
+    return f"_local_{name}"
+
+
 def _key(name: str) -> str:
     return f"_key_{name}"
 
@@ -203,13 +221,18 @@ def _with_chunks(
 ) -> DataFrame:
     """Rows with their chunk, once more for every later chunk they reach."""
     names = [*keys, _BLOCK]
-    # The carried totals belong to a chunk, not to the block that is copied.
-    carried = [_carried(n) for n in runs]
     rows = df.withColumn(_BLOCK, block(F.col(order_by)))
     same_block = [rows[n].eqNullSafe(layout[_key(n)]) for n in names]
-    return (
-        rows.join(layout, same_block, "left")
-        .withColumn(_OWN, F.coalesce(F.col(_OWN), F.lit(0)))
-        .withColumn(_CHUNK, F.explode(F.coalesce(F.col(_REACH), F.array(F.lit(0)))))
-        .select(*df.columns, _BLOCK, _OWN, _CHUNK, *carried)
+    # Keys that are not in the layout are one chunk, number 0.
+    own, reached = F.coalesce(_OWN, F.lit(0)), F.coalesce(_REACH, F.array(F.lit(0)))
+    return rows.join(layout, same_block, "left").select(
+        *df.columns,
+        *(_carried(n) for n in runs),
+        own.alias(_OWN),
+        F.explode(reached).alias(_CHUNK),
+    ).select(
+        *df.columns,
+        *(_carried(n) for n in runs),
+        _CHUNK,
+        (F.col(_CHUNK) != F.col(_OWN)).alias(_COPY),
     )
