@@ -6,8 +6,15 @@ import json
 import pytest
 
 from tidemark.operators.quality import ChecksFailed
-from tidemark.plans.daily_run import Warehouse, build_models, load_raw
+from tidemark.plans.daily_run import (
+    Warehouse,
+    build_models,
+    load_calendar,
+    load_raw,
+    source_freshness,
+)
 from tidemark.sources import payloads as pay
+from tidemark.sources.calendar import dim_calendar, write_calendar_csv
 from tidemark.streaming.ingest import load_quote_files, load_series_files
 
 START = dt.date(2024, 1, 1)
@@ -85,6 +92,31 @@ def test_two_runs(spark, tmp_path):
     assert min(p for _, d, _, p, _ in mart(warehouse) if d < cut) > 16
 
 
+def test_all_layers_in_sql(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"), unit="day")
+    land(tmp_path / "one", 0, 10)
+    load(spark, warehouse, tmp_path / "one", "2024-01-11 07:00:00")
+    write_calendar_csv(dim_calendar(spark), str(tmp_path / "calendar"))
+    load_calendar(warehouse, str(tmp_path / "calendar"))
+    build_models(warehouse, "2024-01-11 07:00:00")
+    warehouse.register_views()
+    row = spark.sql("""
+        select count(*) as days, count(distinct m.ticker) as tickers, max(i.selic_rate) as selic,
+               count(h.ticker) as known, count_if(c.is_business_day) as business_days
+        from mart_stock_performance m
+        join mart_macro_indicators i on m.trade_date = i.macro_date
+        left join snap_ticker_metadata h on m.ticker = h.ticker and h.dbt_valid_to is null
+        join dim_calendar c on c.full_date = m.trade_date
+    """).head()
+    # 2 January to 10 January 2024, seven of them business days.
+    assert tuple(row) == (18, 2, 11.75, 18, 14)
+    report = source_freshness(warehouse, "2024-01-15 07:00:00").collect()
+    assert {(r.table_name, r.status) for r in report} == {
+        ("bacen_series", "warn"),
+        ("market_prices", "warn"),
+    }
+
+
 def test_failing_check_stops_the_run(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
     land(tmp_path / "one", 0, 5)

@@ -15,7 +15,7 @@ from tidemark.operators.incremental import (
 from tidemark.operators.upsert import conform, known_values, newest_per_key, upsert, upsert_table
 from tidemark.schemas import PRICES_KEY, PRICES_SCHEMA, SERIES_KEY, SERIES_SCHEMA
 from tidemark.session import scratch_path
-from tidemark.sources.tables import read_table, write_sorted
+from tidemark.sources.tables import read_since, read_table, write_sorted
 
 LATER = LOADED + dt.timedelta(days=1)
 
@@ -43,17 +43,31 @@ def test_upsert_twice_is_upsert_once(spark):
     assert [v for _, d, v in once if d >= day(35)] == [2.0] * 35
 
 
-def test_upsert_reads_and_writes_only_months_of_the_batch(spark, tmp_path):
+def test_upsert_writes_only_periods_of_the_batch(spark, tmp_path):
     path = str(tmp_path / "t")
     load(spark, path, [observation("cdi_rate", dt.date(2024, m, 1), 1.0) for m in (1, 2, 3)])
     before = {p: p.stat().st_mtime_ns for p in tmp_path.glob("t/*/*.parquet")}
     load(spark, path, [observation("cdi_rate", dt.date(2024, 2, 5), 1.0, LATER)])
     after = {p: p.stat().st_mtime_ns for p in tmp_path.glob("t/*/*.parquet")}
     changed = {p.parent.name for p in before.keys() ^ after.keys()}
-    assert changed == {"_month=2024-02"}
+    assert changed == {"_period=m2024-02"}
     assert len(stored(spark, path)) == 4
 
 
+def test_days_as_periods(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = [observation("cdi_rate", day(n), 1.0) for n in range(4)]
+    second = [observation("cdi_rate", day(2), 2.0, LATER)]
+    for rows in (first, second):
+        batch = series(spark, rows)
+        upsert_table(spark, path, batch, SERIES_SCHEMA, SERIES_KEY, unit="day")
+    assert [v for _, _, v in stored(spark, path)] == [1.0, 1.0, 2.0, 1.0]
+    recent = read_since(spark, path, "date", day(2), "day")
+    assert sorted(r.date for r in recent.collect()) == [day(2), day(3)]
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_period" in plan
+
+
 def test_newest_of_duplicate_keys_wins(spark):
     path = scratch_path(spark, "t")
     rows = [

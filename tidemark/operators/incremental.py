@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialize
 from tidemark.sources.tables import (
-    months_in,
-    read_months,
-    replace_months,
+    periods_in,
+    read_periods,
+    replace_periods,
     table_exists,
     write_table,
 )
@@ -59,19 +59,20 @@ def refresh_table(
     batch: DataFrame,
     keys: Sequence[str],
     date_col: str,
+    unit: str = "month",
     full_refresh: bool = False,
-    by_month: bool = False,
+    in_place: bool = False,
 ) -> None:
     """Delete and insert in the stored table, or replace it.
 
-    ``batch`` is already cut to its look-back; only its months are rewritten.
-    ``by_month`` as for ``write_table``.
+    ``batch`` is already cut to its look-back; only its periods are rewritten.
+    ``in_place`` as for ``write_table``.
     """
     if full_refresh or not table_exists(spark, path):
-        write_table(batch, path, date_col, by_month=by_month)
+        write_table(batch, path, date_col, unit, in_place=in_place)
         return
     rows = materialize(batch, "refresh-batch")
-    months = months_in(rows, date_col)
-    if months:
-        target = read_months(spark, path, months, evolving=True)
-        replace_months(delete_insert(target, rows, keys), path, date_col)
+    periods = periods_in(rows, date_col, unit)
+    if periods:
+        target = read_periods(spark, path, periods, evolving=True)
+        replace_periods(delete_insert(target, rows, keys), path, date_col, unit)

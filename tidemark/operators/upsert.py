@@ -9,8 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.keys import required
+from tidemark.operators.quality import unique_combination
 from tidemark.session import materialize
-from tidemark.sources.tables import months_in, read_months, replace_months, table_exists, write_table
+from tidemark.sources.tables import (
+    periods_in,
+    read_periods,
+    replace_periods,
+    table_exists,
+    write_table,
+)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -59,20 +66,24 @@ def upsert_table(
     keys: Sequence[str],
     date_col: str = "date",
     version: str = "ingested_at",
+    unit: str = "month",
 ) -> None:
     """Upsert into a stored table, created on first use.
 
-    Only months that occur in the batch are read and rewritten. Loading a batch
-    again leaves the table as it is.
+    Only periods that occur in the batch are read and rewritten. Loading a
+    batch again leaves the table as it is. Whole rows are shuffled to settle
+    duplicates only if a look at the keys finds any.
     """
-    rows = materialize(newest_per_key(conform(batch, schema), keys, version), "upsert-batch")
+    rows = materialize(conform(batch, schema), "upsert-batch")
+    if not unique_combination(*keys).failures(rows).isEmpty():
+        rows = materialize(newest_per_key(rows, keys, version), "upsert-newest")
     if not table_exists(spark, path):
-        write_table(rows, path, date_col)
+        write_table(rows, path, date_col, unit)
         return
-    months = months_in(rows, date_col)
-    if months:
-        target = read_months(spark, path, months, schema)
-        replace_months(upsert(target, rows, keys), path, date_col)
+    periods = periods_in(rows, date_col, unit)
+    if periods:
+        target = read_periods(spark, path, periods, schema)
+        replace_periods(upsert(target, rows, keys), path, date_col, unit)
 
 
 def load_report(table: DataFrame, batch: DataFrame, key: str) -> DataFrame:

@@ -7,9 +7,10 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.incremental import lookback_start, refresh_table
-from tidemark.operators.quality import Check, require, run_checks
+from tidemark.operators.quality import Check, freshness, require, run_checks
 from tidemark.operators.scd2 import read_history, scd2_table
 from tidemark.operators.upsert import known_values, upsert_table
 from tidemark.plans import checks
@@ -19,6 +20,7 @@ from tidemark.plans.marts import STOCK_KEY, mart_stock_performance
 from tidemark.plans.snapshot import CHECK_COLUMNS, SNAPSHOT_KEY, ticker_metadata
 from tidemark.plans.staging import stg_bacen_series, stg_market_prices, typed_prices
 from tidemark.schemas import PRICES_KEY, PRICES_SCHEMA, SERIES_KEY, SERIES_SCHEMA
+from tidemark.sources.calendar import read_calendar_csv
 from tidemark.sources.tables import (
     read_since,
     read_table,
@@ -30,10 +32,11 @@ from tidemark.sources.tables import (
 
 @dataclass(frozen=True)
 class Warehouse:
-    """The stored tables below one folder."""
+    """The stored tables below one folder, the large ones in folders per period."""
 
     spark: SparkSession
     root: str
+    unit: str = "month"
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -46,6 +49,10 @@ class Warehouse:
     def prices(self) -> DataFrame:
         return read_table(self.spark, self.path("raw/market_prices"), PRICES_SCHEMA)
 
+    @property
+    def calendar(self) -> DataFrame:
+        return self.spark.read.parquet(self.path("seeds/dim_calendar"))
+
     @property
     def macro_pivoted(self) -> DataFrame:
         return self.spark.read.parquet(self.path("intermediate/int_macro_pivoted"))
@@ -66,17 +73,57 @@ class Warehouse:
     def ticker_history(self) -> DataFrame:
         return read_history(self.spark, self.path("snapshots/snap_ticker_metadata"))
 
+    def register_views(self) -> None:
+        """Temporary views by table name, so that all layers can be used in SQL."""
+        views = {
+            "bacen_series": self.series,
+            "market_prices": self.prices,
+            "stg_bacen_series": stg_bacen_series(self.series),
+            "stg_market_prices": stg_market_prices(self.prices),
+            "int_macro_pivoted": self.macro_pivoted,
+            "int_market_returns": self.market_returns,
+            "mart_macro_indicators": self.macro_indicators,
+            "mart_stock_performance": self.stock_performance,
+            "snap_ticker_metadata": self.ticker_history,
+        }
+        if table_exists(self.spark, self.path("seeds/dim_calendar")):
+            views["dim_calendar"] = self.calendar
+        for name, df in views.items():
+            df.createOrReplaceTempView(name)
+
 
 def load_raw(
     warehouse: Warehouse, series: DataFrame | None = None, prices: DataFrame | None = None
 ) -> None:
     """Upsert parsed payload rows; series without a value are not loaded."""
-    spark = warehouse.spark
-    if series is not None:
-        rows = known_values(series, "value")
-        upsert_table(spark, warehouse.path("raw/bacen_series"), rows, SERIES_SCHEMA, SERIES_KEY)
-    if prices is not None:
-        upsert_table(spark, warehouse.path("raw/market_prices"), prices, PRICES_SCHEMA, PRICES_KEY)
+    loads = [
+        ("raw/bacen_series", series, SERIES_SCHEMA, SERIES_KEY),
+        ("raw/market_prices", prices, PRICES_SCHEMA, PRICES_KEY),
+    ]
+    for table, batch, schema, keys in loads:
+        if batch is None:
+            continue
+        if table == "raw/bacen_series":
+            batch = known_values(batch, "value")
+        path = warehouse.path(table)
+        upsert_table(warehouse.spark, path, batch, schema, keys, unit=warehouse.unit)
+
+
+def load_calendar(warehouse: Warehouse, csv_path: str) -> None:
+    """The calendar dimension from its CSV."""
+    days = read_calendar_csv(warehouse.spark, csv_path)
+    write_sorted(days, warehouse.path("seeds/dim_calendar"), ["date_id"])
+
+
+def source_freshness(warehouse: Warehouse, as_of: dt.datetime | str) -> DataFrame:
+    """Newest load and its status for each raw table."""
+    limits = checks.FRESHNESS_WARN_DAYS, checks.FRESHNESS_ERROR_DAYS
+    tables = {"bacen_series": warehouse.series, "market_prices": warehouse.prices}
+    rows = [
+        freshness(df, "ingested_at", as_of, *limits).withColumn("table_name", F.lit(name))
+        for name, df in tables.items()
+    ]
+    return rows[0].unionByName(rows[1])
 
 
 def build_models(
@@ -102,7 +149,8 @@ def build_models(
         int_market_returns(warehouse.prices),
         warehouse.path("intermediate/int_market_returns"),
         "trade_date",
-        STOCK_KEY,
+        warehouse.unit,
+        order_by=STOCK_KEY,
     )
     _check(warehouse.macro_pivoted, "int_macro_pivoted", checks.MACRO_PIVOTED)
     _check(warehouse.market_returns, "int_market_returns", checks.MARKET_RETURNS)
@@ -136,11 +184,18 @@ def _refresh_stock_mart(
         start = lookback_start(warehouse.stock_performance, "trade_date")
         if start is not None:
             stored = warehouse.path("intermediate/int_market_returns")
-            returns = read_since(warehouse.spark, stored, "trade_date", start)
+            returns = read_since(warehouse.spark, stored, "trade_date", start, warehouse.unit)
     batch = mart_stock_performance(returns, warehouse.macro_pivoted, run_ts)
-    # The stored returns lie by month, and joining the small macro table keeps them so.
+    # The stored returns lie by period, and joining the small macro table keeps them so.
     refresh_table(
-        warehouse.spark, path, batch, STOCK_KEY, "trade_date", full_refresh, by_month=True
+        warehouse.spark,
+        path,
+        batch,
+        STOCK_KEY,
+        "trade_date",
+        warehouse.unit,
+        full_refresh=full_refresh,
+        in_place=True,
     )
 
 

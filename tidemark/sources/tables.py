@@ -1,4 +1,8 @@
-"""Stored tables: parquet folders, partitioned by the month of their date."""
+"""Stored tables: parquet folders, partitioned by a period of their date.
+
+Months suit tables of ordinary size. Days let a load of one day into a very
+large table rewrite that day alone.
+"""
 
 from __future__ import annotations
 
@@ -10,11 +14,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-MONTH = "_month"
+PERIOD = "_period"
+
+# The letter keeps partition values text, whatever the reader would infer.
+_PATTERNS = {"day": "'d'yyyy-MM-dd", "month": "'m'yyyy-MM", "year": "'y'yyyy"}
 
 
-def month_of(date_col: str) -> Column:
-    return F.date_format(date_col, "yyyy-MM").alias(MONTH)
+def period_of(date: str | Column, unit: str) -> Column:
+    return F.date_format(date, _PATTERNS[unit])
 
 
 def read_table(
@@ -25,25 +32,28 @@ def read_table(
     ``evolving`` is for tables that have gained columns: it merges the schemas
     of all files, which the tables of fixed shape need not pay for.
     """
-    return _read(spark, path, schema, evolving).drop(MONTH)
+    return _read(spark, path, schema, evolving).drop(PERIOD)
 
 
-def read_since(spark: SparkSession, path: str, date_col: str, start: dt.date) -> DataFrame:
-    """Rows from a date on; older months are pruned before the scan."""
-    recent = (F.col(MONTH) >= f"{start:%Y-%m}") & (F.col(date_col) >= F.lit(start))
-    return _read(spark, path).filter(recent).drop(MONTH)
+def read_since(
+    spark: SparkSession, path: str, date_col: str, start: dt.date, unit: str = "month"
+) -> DataFrame:
+    """Rows from a date on; older periods are pruned before the scan."""
+    first = period_of(F.lit(start), unit)
+    recent = (F.col(PERIOD) >= first) & (F.col(date_col) >= F.lit(start))
+    return _read(spark, path).filter(recent).drop(PERIOD)
 
 
-def read_months(
+def read_periods(
     spark: SparkSession,
     path: str,
-    months: Sequence[str],
+    periods: Sequence[str],
     schema: T.StructType | None = None,
     evolving: bool = False,
 ) -> DataFrame:
-    """Only the named months of a stored table."""
-    wanted = F.col(MONTH).isin(list(months))
-    return _read(spark, path, schema, evolving).filter(wanted).drop(MONTH)
+    """Only the named periods of a stored table."""
+    wanted = F.col(PERIOD).isin(list(periods))
+    return _read(spark, path, schema, evolving).filter(wanted).drop(PERIOD)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -60,7 +70,7 @@ def _read(
 ) -> DataFrame:
     reader = spark.read
     if schema is not None:
-        reader = reader.schema(T.StructType([*schema.fields, T.StructField(MONTH, T.StringType())]))
+        reader = reader.schema(T.StructType([*schema.fields, T.StructField(PERIOD, T.StringType())]))
     elif evolving:
         reader = reader.option("mergeSchema", True)
     return reader.parquet(path)
@@ -74,39 +84,44 @@ def write_sorted(df: DataFrame, path: str, order_by: Sequence[str]) -> None:
 
 
 def write_table(
-    df: DataFrame, path: str, date_col: str, order_by: Sequence[str] = (), by_month: bool = False
+    df: DataFrame,
+    path: str,
+    date_col: str,
+    unit: str = "month",
+    order_by: Sequence[str] = (),
+    in_place: bool = False,
 ) -> None:
-    """Replace a whole table, one folder per month.
+    """Replace a whole table, one folder per period.
 
-    ``by_month`` states that the rows already lie together by month, as those
+    ``in_place`` states that the rows already lie together by period, as those
     read from such a table do, and saves the shuffle that gathers them.
     """
-    rows = df.withColumn(MONTH, month_of(date_col))
-    if not by_month:
+    rows = df.withColumn(PERIOD, period_of(date_col, unit))
+    if not in_place:
         rows = _rebalanced(rows)
     if order_by:
-        rows = rows.sortWithinPartitions(MONTH, *order_by)
+        rows = rows.sortWithinPartitions(PERIOD, *order_by)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        MONTH
+        PERIOD
     ).parquet(path)
 
 
-def replace_months(df: DataFrame, path: str, date_col: str) -> None:
-    """Replace only the months that occur in ``df``.
+def replace_periods(df: DataFrame, path: str, date_col: str, unit: str = "month") -> None:
+    """Replace only the periods that occur in ``df``.
 
     The new files are staged and moved in when the job commits, so ``df`` may
     be derived from the same table.
     """
-    _rebalanced(df.withColumn(MONTH, month_of(date_col))).write.mode("overwrite").option(
+    _rebalanced(df.withColumn(PERIOD, period_of(date_col, unit))).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
-    ).partitionBy(MONTH).parquet(path)
+    ).partitionBy(PERIOD).parquet(path)
 
 
-def months_in(df: DataFrame, date_col: str) -> list[str]:
-    """The distinct months of a column, few by nature."""
-    return sorted(r[0] for r in df.select(month_of(date_col)).distinct().collect())
+def periods_in(df: DataFrame, date_col: str, unit: str = "month") -> list[str]:
+    """The distinct periods of a column, no more than there are days."""
+    return sorted(r[0] for r in df.select(period_of(date_col, unit)).distinct().collect())
 
 
 def _rebalanced(rows: DataFrame) -> DataFrame:
-    """Small months gathered into few files, a hot month split over several."""
-    return rows.hint("rebalance", F.col(MONTH))
+    """Small periods gathered into few files, a hot one split over several."""
+    return rows.hint("rebalance", F.col(PERIOD))

@@ -1,4 +1,8 @@
-"""The raw tables of the models, derived from the whole test tables."""
+"""The raw tables of the models, derived from the whole test tables.
+
+``market_prices`` and ``bacen_series`` store what they derive, as raw tables
+are stored: queries that read them more than once scan the test tables once.
+"""
 
 from __future__ import annotations
 
@@ -6,12 +10,22 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import materialize
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def market_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(derive_market_prices(spark, sf_dir), "market-prices")
+
+
+def bacen_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(derive_bacen_series(spark, sf_dir), "bacen-series")
+
+
+def derive_market_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily bars: brands as tickers, line items as trades in a total order."""
     parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("ticker"))
     trades = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
@@ -72,7 +86,7 @@ _SERIES = [
 ]
 
 
-def bacen_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derive_bacen_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Six macro series: the lowest order price of each day or month.
 
     One pass: the lowest price per day and series first, which is small, then
