@@ -20,7 +20,7 @@ the same chunks.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -90,6 +90,10 @@ class RowGroups:
         """Frame of the current row and the ``size - 1`` rows before it."""
         return self.window.rowsBetween(1 - size, Window.currentRow)
 
+    def of_large_keys(self) -> RowGroups:
+        """Only the keys that were split."""
+        return replace(self, rows=self.rows.filter(F.col(_CHUNK) > 0))
+
     def with_windows(self, columns: Mapping[str, Column]) -> DataFrame:
         """``rows`` with window columns and with the running values by name.
 
@@ -125,6 +129,7 @@ def group_rows(
     runs: Mapping[str, Running] | None = None,
     max_rows: int | None = MAX_ROWS,
     block: Callable[[Column], Column] = lambda day: F.trunc(day, "month"),
+    counted: DataFrame | None = None,
 ) -> RowGroups:
     """Prepare ``df`` for windows by ``keys`` in the order of ``order_by``.
 
@@ -132,12 +137,17 @@ def group_rows(
     values wanted. ``block`` maps the order column to a coarser one that never
     decreases; one block is the least that a chunk can hold. ``max_rows=None``
     states that the keys are already known to be small and skips the count.
+    ``counted`` holds the rows of ``df`` whose keys may be large, where others
+    are known to be small.
     """
     runs = dict(runs or {})
-    if max_rows is None or not _has_large_key(df, keys, max_rows):
+    if max_rows is None or (counted is None and not _has_large_key(df, keys, max_rows)):
         return RowGroups(df, tuple(keys), order_by, runs, is_split=False)
     layout = materialize(
-        _chunk_layout(df, keys, order_by, lookback, runs, max_rows, block), "row-groups"
+        _chunk_layout(
+            df if counted is None else counted, keys, order_by, lookback, runs, max_rows, block
+        ),
+        "row-groups",
     )
     rows = _with_chunks(df, layout, keys, order_by, runs, block)
     return RowGroups(rows, tuple(keys), order_by, runs, is_split=True)
@@ -223,7 +233,7 @@ def _with_chunks(
     names = [*keys, _BLOCK]
     rows = df.withColumn(_BLOCK, block(F.col(order_by)))
     same_block = [rows[n].eqNullSafe(layout[_key(n)]) for n in names]
-    # Keys that are not in the layout are one chunk, number 0.
+    # Small keys are not in the layout and are one chunk, number 0; others count from 1.
     own, reached = F.coalesce(_OWN, F.lit(0)), F.coalesce(_REACH, F.array(F.lit(0)))
     return rows.join(layout, same_block, "left").select(
         *df.columns,

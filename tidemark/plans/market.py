@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.finance import annualized, drawdown
-from tidemark.operators.row_groups import MAX_ROWS, group_rows, running_max, running_sum
+from tidemark.operators.row_groups import MAX_ROWS, RowGroups, group_rows, running_max, running_sum
 from tidemark.plans.staging import price_groups, with_returns
 
 MONTH_ROWS = 21
@@ -36,6 +36,17 @@ RETURN_COLUMNS = [
 ]
 
 
+def _valid_returns(quotes: RowGroups) -> DataFrame:
+    log_return = F.col("log_return_daily")
+    # Filling in changes no value here: it tells the planner that none is NULL
+    # any more, which makes the sliding frames a third cheaper.
+    return (
+        with_returns(quotes)
+        .filter(log_return.isNotNull())
+        .withColumn("log_return_daily", F.coalesce(log_return, F.lit(0.0)))
+    )
+
+
 def int_market_returns(raw: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """Quotes with a return, and the metrics over the rows that have one.
 
@@ -43,28 +54,21 @@ def int_market_returns(raw: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     of a ticker takes no part in its running peak.
     """
     quotes = price_groups(raw, max_rows)
-    log_return = F.col("log_return_daily")
-    returns = (
-        with_returns(quotes)
-        .filter(log_return.isNotNull())
-        # No value changes: it tells the planner that none is NULL any more,
-        # which makes the sliding frames below a third cheaper.
-        .withColumn("log_return_daily", F.coalesce(log_return, F.lit(0.0)))
-    )
     groups = group_rows(
-        returns,
+        _valid_returns(quotes),
         ["ticker"],
         "trade_date",
         lookback=QUARTER_ROWS - 1,
         runs={
-            "total_return": running_sum(log_return),
+            "total_return": running_sum(F.col("log_return_daily")),
             "running_peak": running_max(F.col("price_adj_close")),
         },
-        # Fewer rows than quotes: small keys have stayed small.
+        # Returns are fewer than quotes: small tickers have stayed small.
         max_rows=max_rows if quotes.is_split else None,
+        counted=_valid_returns(quotes.of_large_keys()) if quotes.is_split else None,
     )
     month, quarter = groups.trailing(MONTH_ROWS), groups.trailing(QUARTER_ROWS)
-    deviation = F.stddev_samp(log_return)
+    deviation = F.stddev_samp("log_return_daily")
     metrics = groups.with_windows(
         {
             "volatility_21d_annualized": annualized(deviation.over(month)),
