@@ -23,6 +23,8 @@ def get_session(app_name: str = "tidemark", **conf: str) -> SparkSession:
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Sliding frames cost time, not bytes: keep small shuffles in parallel.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.enabled", "false")
     )
     for key, value in conf.items():

@@ -112,7 +112,7 @@ def _renamed(ticker: Column) -> Column:
     return F.coalesce(*(F.when(ticker == old, new) for old, new in _RENAMED.items()), ticker)
 
 
-def _quote_landing(spark: SparkSession, sf_dir: str) -> str:
+def land_quotes(prices: DataFrame) -> str:
     """Landed documents; a ticker has one quote a day, so 31 quotes at most in each."""
     quote = F.struct(
         (F.unix_date("date").cast("bigint") * 86_400 + 13 * 3_600).alias("date"),
@@ -124,15 +124,14 @@ def _quote_landing(spark: SparkSession, sf_dir: str) -> str:
         F.col("adj_close").alias("adjustedClose"),
     )
     documents = (
-        fx.market_prices(spark, sf_dir)
-        .groupBy(_renamed(F.col("ticker")).alias("ticker"), F.trunc("date", "month").alias("month"))
+        prices.groupBy(_renamed(F.col("ticker")).alias("ticker"), F.trunc("date", "month").alias("month"))
         .agg(F.collect_list(quote).alias("historicalDataPrice"))
         .select(
             F.to_json(F.struct(F.array(F.struct("historicalDataPrice")).alias("results"))).alias("value"),
             "ticker",
         )
     )
-    path = scratch_path(spark, "quote-landing")
+    path = scratch_path(prices.sparkSession, "quote-landing")
     documents.write.partitionBy("ticker").text(path)
     return path
 
@@ -159,7 +158,7 @@ loaded as (
 
 @query(f"with {_QUOTE_ROWS} select * from loaded where date >= date '1997-01-01'")
 def quote_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    payloads = pay.read_quote_payloads(spark, _quote_landing(spark, sf_dir))
+    payloads = pay.read_quote_payloads(spark, land_quotes(fx.market_prices(spark, sf_dir)))
     return pay.parse_quotes(payloads, RUN_TS, start=dt.date(1997, 1, 1)).rows.drop("ingested_at")
 
 
@@ -167,7 +166,7 @@ def quote_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 select ticker, date, close from loaded where ticker in ('PETR4', 'Brand#12', 'Brand#55')""")
 def quote_payload_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Only the tickers of the parameter, whose folders alone are read."""
-    payloads = pay.read_quote_payloads(spark, _quote_landing(spark, sf_dir))
+    payloads = pay.read_quote_payloads(spark, land_quotes(fx.market_prices(spark, sf_dir)))
     wanted = pay.ticker_list("PETR4, Brand#12 ,Brand#55")
     return pay.parse_quotes(payloads, RUN_TS, None, wanted).rows.select("ticker", "date", "close")
 
@@ -175,7 +174,7 @@ def quote_payload_tickers(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"with {_QUOTE_ROWS} select * from loaded")
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed documents loaded as a stream into a stored table, then once more."""
-    landing, table = _quote_landing(spark, sf_dir), scratch_path(spark, "stream-table")
+    landing, table = land_quotes(fx.market_prices(spark, sf_dir)), scratch_path(spark, "stream-table")
     checkpoint = scratch_path(spark, "stream-checkpoint")
     for _ in range(2):
         load_quote_files(spark, landing, table, checkpoint, RUN_TS, None).awaitTermination()

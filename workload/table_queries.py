@@ -142,10 +142,14 @@ select ticker, date, volume, case when date >= start then close * 2 else close e
 from fx_market_prices, cut"""
 
 
+def refreshed(prices: DataFrame) -> DataFrame:
+    prices = prices.select("ticker", "date", "close", "volume")
+    return incremental.delete_insert(_target(prices), _batch(prices), PRICES_KEY)
+
+
 @query(_REFRESHED)
 def incremental_delete_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prices = fx.market_prices(spark, sf_dir).select("ticker", "date", "close", "volume")
-    return incremental.delete_insert(_target(prices), _batch(prices), PRICES_KEY)
+    return refreshed(fx.market_prices(spark, sf_dir))
 
 
 @query(_REFRESHED)
