@@ -8,6 +8,7 @@ from rows import LOADED, day, observation, prices, quote, series
 from tidemark.operators.incremental import (
     delete_insert,
     lookback_start,
+    lookback_start_of_table,
     refresh_table,
     since,
     since_by_key,
@@ -142,6 +143,13 @@ def test_lookback_is_inclusive_and_global(spark):
     assert kept == {("A", day(13)), ("B", day(13))}
 
 
+def test_lookback_of_a_stored_table_reads_its_latest_period(spark):
+    path = scratch_path(spark, "t")
+    refresh_table(spark, path, stock(spark, ("A", 50, 1), ("B", 20, 1)), ["ticker"], "trade_date")
+    assert lookback_start_of_table(spark, path, "trade_date") == day(43)
+    assert lookback_start_of_table(spark, path, "trade_date", days=0) == day(50)
+
+
 def test_late_ticker_loads_by_its_own_mark(spark):
     target = stock(spark, ("A", 40, 1), ("B", 10, 1))
     source = stock(spark, ("A", 30, 1), ("A", 35, 1), ("B", 4, 1), ("B", 2, 1), ("LATE", 1, 1))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialize
 from tidemark.sources.tables import (
+    newest_date,
     periods_in,
     read_periods,
     replace_periods,
@@ -29,6 +30,14 @@ def lookback_start(target: DataFrame, date_col: str, days: int = LOOKBACK_DAYS)
     return None if newest is None else newest - dt.timedelta(days=days)
 
 
+def lookback_start_of_table(
+    spark: SparkSession, path: str, date_col: str, days: int = LOOKBACK_DAYS
+) -> dt.date | None:
+    """The same for a stored table, of which only the latest period is read."""
+    newest = newest_date(spark, path, date_col)
+    return None if newest is None else newest - dt.timedelta(days=days)
+
+
 def since(source: DataFrame, date_col: str, start: dt.date | None) -> DataFrame:
     """Source rows from the start date on, all of them without one."""
     return source if start is None else source.filter(F.col(date_col) >= F.lit(start))

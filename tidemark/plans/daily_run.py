@@ -9,7 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.incremental import lookback_start, refresh_table
+from tidemark.operators.incremental import lookback_start_of_table, refresh_table
 from tidemark.operators.quality import Check, freshness, require, run_checks
 from tidemark.operators.scd2 import read_history, scd2_table
 from tidemark.operators.upsert import known_values, upsert_table
@@ -181,7 +181,7 @@ def _refresh_stock_mart(
     path = warehouse.path("marts/mart_stock_performance")
     returns = warehouse.market_returns
     if not full_refresh and table_exists(warehouse.spark, path):
-        start = lookback_start(warehouse.stock_performance, "trade_date")
+        start = lookback_start_of_table(warehouse.spark, path, "trade_date")
         if start is not None:
             stored = warehouse.path("intermediate/int_market_returns")
             returns = read_since(warehouse.spark, stored, "trade_date", start, warehouse.unit)

@@ -51,8 +51,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+    """A new, unused path below the shared folder, in one folder per application.
+
+    What an application leaves there may go once it has ended.
+    """
+    app = spark.conf.get("spark.app.id")
+    return f"{shared_dir(spark)}/tidemark/{app}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -56,6 +56,13 @@ def read_periods(
     return _read(spark, path, schema, evolving).filter(wanted).drop(PERIOD)
 
 
+def newest_date(spark: SparkSession, path: str, date_col: str) -> dt.date | None:
+    """Latest date of a stored table, read from its latest period alone."""
+    rows = _read(spark, path)
+    period = rows.agg(F.max(PERIOD)).head()[0]
+    return rows.filter(F.col(PERIOD) == period).agg(F.max(date_col)).head()[0]
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """True when the folder holds a readable table, empty or not."""
     try:

@@ -127,16 +127,17 @@ def derive_bacen_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def metadata_v1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as tickers, without the multiples of ten."""
-    customers = table(spark, sf_dir, "customer").filter("c_custkey % 10 <> 0")
+    """Customers as tickers; those of nation 0 are not listed yet."""
+    customers = table(spark, sf_dir, "customer").filter("c_nationkey <> 0")
     return _metadata(customers, F.col("c_mktsegment"), F.concat(F.lit("N"), "c_nationkey"))
 
 
 def metadata_v2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The later state: keys come and go, sectors change, indexes turn NULL."""
-    customers = table(spark, sf_dir, "customer").filter("c_custkey % 7 <> 0")
-    sector = F.when(F.col("c_custkey") % 5 == 1, "CHANGED").otherwise(F.col("c_mktsegment"))
-    index = F.when(F.col("c_custkey") % 11 != 0, F.concat(F.lit("N"), "c_nationkey"))
+    """The later state: nation 7 has left, sectors changed, an index turned NULL."""
+    customers = table(spark, sf_dir, "customer").filter("c_nationkey <> 7")
+    nation = F.col("c_nationkey")
+    sector = F.when(nation < 6, "CHANGED").otherwise(F.col("c_mktsegment"))
+    index = F.when(nation != 11, F.concat(F.lit("N"), nation))
     return _metadata(customers, sector, index)
 
 

@@ -138,12 +138,12 @@ META = """
 meta_v1 as (
   select c_custkey as ticker, c_name as company_name, c_mktsegment as sector,
          concat('N', cast(c_nationkey as varchar)) as market_index
-  from customer where c_custkey % 10 <> 0
+  from customer where c_nationkey <> 0
 ),
 meta_v2 as (
   select c_custkey as ticker, c_name as company_name,
-         case when c_custkey % 5 = 1 then 'CHANGED' else c_mktsegment end as sector,
-         case when c_custkey % 11 <> 0 then concat('N', cast(c_nationkey as varchar)) end
+         case when c_nationkey < 6 then 'CHANGED' else c_mktsegment end as sector,
+         case when c_nationkey <> 11 then concat('N', cast(c_nationkey as varchar)) end
            as market_index
-  from customer where c_custkey % 7 <> 0
+  from customer where c_nationkey <> 7
 )"""

@@ -46,7 +46,7 @@ def _series_landing(spark: SparkSession, sf_dir: str, bad_dates: Column) -> str:
     number = F.replace(F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(","))
     record = F.struct(
         F.when(bad_dates, F.lit("n/d")).otherwise(date).alias("data"),
-        F.when(F.col("o_orderkey") % 50 == 0, F.lit("n/d")).otherwise(number).alias("valor"),
+        F.when(F.col("o_totalprice") < 20_000, F.lit("n/d")).otherwise(number).alias("valor"),
     )
     path = scratch_path(spark, "series-landing")
     fx.table(spark, sf_dir, "orders").select(
@@ -63,9 +63,9 @@ def _case(column: str, values: dict[str, object]) -> str:
 _SERIES_ROWS = f"""
 records as (
   select {_case("o_orderpriority", _CODES)} as series_code, cast(o_orderdate as date) as date,
-         case when o_orderkey % 50 <> 0 then cast(cast(o_totalprice as decimal(18,2)) as double) end
+         case when o_totalprice >= 20000 then cast(cast(o_totalprice as decimal(18,2)) as double) end
            as value,
-         o_orderkey
+         month(o_orderdate) = 12 and day(o_orderdate) = 31 as unreadable
   from orders
 ),
 codes(series_code, series_name, frequency, unit) as (
@@ -90,14 +90,14 @@ def series_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""with {_SERIES_ROWS}
 select cast(series_code as integer) as series_code, count(*) as held_back,
-       count(*) filter (where o_orderkey % 1000 = 7) as bad_dates
+       count(*) filter (where unreadable) as bad_dates
 from records join codes using (series_code)
-where series_code in (select series_code from records where o_orderkey % 1000 = 7
-                      and series_code <> 11)
+where series_code in (select series_code from records where unreadable and series_code <> 11)
 group by series_code""")
 def payload_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One unreadable date holds back its whole series, and no other."""
-    bad = (F.col("o_orderkey") % 1000 == 7) & (F.col("o_orderpriority") != "1-URGENT")
+    """Unreadable dates (New Year's Eve) hold back their whole series, and no other."""
+    new_years_eve = (F.month("o_orderdate") == 12) & (F.dayofmonth("o_orderdate") == 31)
+    bad = new_years_eve & (F.col("o_orderpriority") != "1-URGENT")
     landing = _series_landing(spark, sf_dir, bad)
     loaded = pay.parse_series(pay.read_series_payloads(spark, landing), RUN_TS)
     return loaded.rejects.groupBy("series_code").agg(

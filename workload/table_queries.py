@@ -112,16 +112,17 @@ def incremental_cutoff(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""
 with marks as (
   select o_custkey, max(o_orderdate) as mark from orders
-  where o_orderdate < date '2001-07-01' and o_custkey % 3 <> 0 group by o_custkey
+  where o_orderdate < date '2001-07-01' and o_orderpriority = '1-URGENT' group by o_custkey
 )
 select o_orderkey, o_custkey, cast(o_orderdate as date) as o_orderdate
 from orders left join marks using (o_custkey)
 where mark is null or o_orderdate >= mark - interval '7 days'""")
 def incremental_cutoff_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys that the target has never seen load in full."""
-    orders = _orders(spark, sf_dir).select("o_orderkey", "o_custkey", "o_orderdate")
-    target = orders.filter("o_orderdate < date '2001-07-01' and o_custkey % 3 <> 0")
-    return incremental.since_by_key(orders, target, "o_custkey", "o_orderdate")
+    """The target holds urgent orders; customers without any load in full."""
+    orders = _orders(spark, sf_dir)
+    target = orders.filter("o_orderdate < date '2001-07-01' and o_orderpriority = '1-URGENT'")
+    rows = incremental.since_by_key(orders, target, "o_custkey", "o_orderdate")
+    return rows.select("o_orderkey", "o_custkey", "o_orderdate")
 
 
 def _target(prices: DataFrame) -> DataFrame:
