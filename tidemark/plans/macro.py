@@ -110,7 +110,8 @@ def mart_macro_indicators(
 def inflation_by_month(macro: DataFrame) -> DataFrame:
     """Optional reading of the 12 month figure: twelve monthly rates, compounded.
 
-    Months without any business day or rate count as no growth.
+    Months without any rate count as no growth. The window has no key, but one
+    row per month.
     """
     months = macro.groupBy(F.trunc("macro_date", "month").alias("month_date")).agg(
         F.max("ipca_monthly_pct").alias("ipca_monthly_pct")

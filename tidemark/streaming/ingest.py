@@ -16,6 +16,9 @@ from tidemark.operators.upsert import known_values, upsert_table
 from tidemark.schemas import PRICES_KEY, PRICES_SCHEMA, SERIES_KEY, SERIES_RECORD, SERIES_SCHEMA
 from tidemark.sources.payloads import DEFAULT_START, parse_quotes, parse_series
 
+# A large backlog is loaded in several upserts of at most so many files.
+FILES_PER_BATCH = 10_000
+
 
 def load_quote_files(
     spark: SparkSession,
@@ -24,9 +27,11 @@ def load_quote_files(
     checkpoint: str,
     run_ts: dt.datetime | str,
     start: dt.date | None = DEFAULT_START,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
     """Upsert every quote payload not loaded yet, then stop."""
-    payloads = spark.readStream.schema("value string, ticker string").text(landing)
+    stream = spark.readStream.schema("value string, ticker string")
+    payloads = stream.option("maxFilesPerTrigger", files_per_batch).text(landing)
 
     def load(batch: DataFrame, _: int) -> None:
         rows = parse_quotes(batch, run_ts, start).rows
@@ -41,9 +46,14 @@ def load_series_files(
     table_path: str,
     checkpoint: str,
     run_ts: dt.datetime | str,
+    files_per_batch: int = FILES_PER_BATCH,
 ) -> StreamingQuery:
-    """Upsert every series record not loaded yet, then stop."""
-    records = spark.readStream.schema(f"{SERIES_RECORD}, series_code int").json(landing)
+    """Upsert every series record not loaded yet, then stop.
+
+    A bad date holds back the records of its series in the same batch of files.
+    """
+    stream = spark.readStream.schema(f"{SERIES_RECORD}, series_code int")
+    records = stream.option("maxFilesPerTrigger", files_per_batch).json(landing)
 
     def load(batch: DataFrame, _: int) -> None:
         rows = known_values(parse_series(batch, run_ts).rows, "value")

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
 from tidemark.operators.fill import forward_fill
 from tidemark.operators.rolling import with_rolling_metrics
 from tidemark.plans.macro import int_macro_pivoted
 from tidemark.plans.market import int_market_returns
 from tidemark.plans.marts import mart_stock_performance
-from tidemark.plans.staging import stg_bacen_series
+from tidemark.plans.snapshot import ticker_metadata as distinct_metadata
+from tidemark.plans.staging import stg_bacen_series, typed_prices
 from tidemark.plans.staging import stg_market_prices as staged_prices
 from tidemark.session import materialize
 from workload import fixtures as fx
@@ -169,10 +168,5 @@ def forward_filled_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""with {STG_PRICES}
 select distinct ticker, company_name, sector, market_index from prices""")
 def ticker_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tidemark.plans.snapshot import ticker_metadata as distinct_metadata
-    from tidemark.plans.staging import typed_prices
-
     prices = typed_prices(fx.market_prices(spark, sf_dir))
-    return distinct_metadata(prices, RUN_TS).drop("updated_at").select(
-        "ticker", "company_name", F.col("sector"), "market_index"
-    )
+    return distinct_metadata(prices, RUN_TS).drop("updated_at")
