@@ -4,6 +4,7 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_points
+from workload import ORACLES, QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -18,7 +19,7 @@ def duck():
 EMPTY_AT_THIS_SIZE: set[str] = set()
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_sql(spark, duck, name):
     df = entry_points.queries()[name](spark, SF_DIR)
     found = differences(df, duck, entry_points.oracle_sql()[name])
@@ -26,7 +27,12 @@ def test_query_equals_its_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert entry_points.queries().keys() == entry_points.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+
+
+def test_entry_has_every_query():
+    assert QUERIES.items() <= entry_points.queries().items()
+    assert ORACLES.items() <= entry_points.oracle_sql().items()
 
 
 def test_entry(spark):
