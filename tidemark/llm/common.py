@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -23,6 +24,18 @@ _POSITION = np.array(
 )
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it.
+
+    Only needed where it is neither installed nor on the workers' own path.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in paths.split(os.pathsep):
+        joined = os.pathsep.join(x for x in (paths, root) if x)
+        spark.sparkContext.environment["PYTHONPATH"] = joined
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup
-from tidemark.llm.common import table
+from tidemark.llm import exact_dedup, packing, token_orc
+from tidemark.llm.common import on_workers, table
+from tidemark.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,10 +23,15 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Register a query under its function name, with its SQL if there is one."""
 
     def register(fn: Query) -> Query:
-        QUERIES[fn.__name__] = fn
+        @functools.wraps(fn)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            on_workers(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[fn.__name__] = run
         if sql is not None:
             ORACLES[fn.__name__] = sql
-        return fn
+        return run
 
     return register
 
@@ -35,3 +44,30 @@ window same as (partition by coalesce(text, ''))""")
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates, frequent texts split off."""
     return exact_dedup.assign(table(spark, sf_dir, "documents"))
+
+
+SEQUENCE_TOKENS = 2048
+
+
+@query()
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in sequences of at most 2048 byte-level tokens."""
+    pieces = packing.cut(
+        table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        SEQUENCE_TOKENS,
+        end_id=0,
+    )
+    digested = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return packing.place(digested, SEQUENCE_TOKENS).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+@query()
+def op7_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as token ids in ORC files, read back."""
+    path = scratch_path(spark, "token-orc")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    token_orc.write(table(spark, sf_dir, "documents"), path, vocabulary, end_id=1)
+    return token_orc.summary(token_orc.read(spark, path))
