@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, packing, token_orc
+from tidemark.llm import decontaminate, exact_dedup, packing, token_orc
 from tidemark.llm.common import on_workers, table
 from tidemark.session import scratch_path
 
@@ -71,3 +71,42 @@ def op7_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     token_orc.write(table(spark, sf_dir, "documents"), path, vocabulary, end_id=1)
     return token_orc.summary(token_orc.read(spark, path))
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@query(f"""
+with doc_words as (
+  select row_number() over () as r, doc_id, coalesce({_WORDS}, []) as w from documents
+), item_words as (
+  select item_id, w, least(10, len(w)) as k from (select item_id, {_WORDS} as w from benchmark)
+  where len(w) > 0
+), item_starts as (
+  select item_id, w, k, unnest(range(1, len(w) - k + 2)) as i from item_words
+), windows as (
+  select distinct item_id, k, array_to_string(w[i:i + k - 1], ' ') as passage from item_starts
+), doc_starts as (
+  select r, w, k, unnest(range(1, len(w) - k + 2)) as i
+  from doc_words, (select distinct k from windows) where len(w) >= k
+), doc_passages as (
+  select r, i, k, array_to_string(w[i:i + k - 1], ' ') as passage from doc_starts
+), hits as (
+  select r, i, k, item_id from doc_passages join windows using (k, passage)
+), covered as (
+  select r, count(distinct p) as n_hit
+  from (select r, unnest(range(i, i + k)) as p from (select distinct r, i, k from hits))
+  group by r
+), found as (
+  select r, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct r, cast(item_id as varchar) as item from hits) group by r
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
+       coalesce(n_items, 0) as n_items, sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 as contaminated
+from doc_words left join covered using (r) left join found using (r)""")
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of documents that lie in a passage of a benchmark item."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.mark(docs, items).drop("digest")
