@@ -7,7 +7,7 @@ import re
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Words as the contracts state them, on UTF-8 bytes: digits, a-z (after
@@ -81,3 +81,27 @@ def column_bytes(array) -> list[bytes]:
     import pyarrow as pa
 
     return [x if x is not None else b"" for x in array.cast(pa.binary()).to_pylist()]
+
+
+def keep_rows(docs: DataFrame, verdict: DataFrame) -> DataFrame:
+    """The rows of `docs` that stay, with all their columns.
+
+    `verdict` has doc_id, digest (SHA-256 of the text, null as empty) and kept
+    for each row. Only the keys that lose rows are joined, so that Spark can
+    broadcast them while they are few. Of rows that repeat both id and text,
+    and of which one is to stay, any one will do.
+    """
+    keys = (
+        verdict.groupBy("doc_id", "digest")
+        .agg(F.max("kept").alias("_stays"), (F.count(F.lit(1)) > 1).alias("_repeats"))
+        .filter("not _stays or _repeats")
+        .withColumnsRenamed({"doc_id": "_key_id", "digest": "_key_digest"})
+    )
+    same = F.col("_digest") == F.col("_key_digest")
+    same &= F.col("doc_id").eqNullSafe(F.col("_key_id"))
+    tagged = docs.withColumn("_digest", F.sha2(text_or_empty("text"), 256))
+    alone = tagged.join(keys, same, "left_anti")
+    repeated = tagged.join(keys.filter("_stays"), same, "left_semi")
+    copies = Window.partitionBy("_digest", "doc_id").orderBy("_digest")
+    one = repeated.withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1")
+    return alone.select(*docs.columns).unionByName(one.select(*docs.columns))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import text_or_empty
+from tidemark.llm.common import keep_rows, text_or_empty
 from tidemark.session import materialize
 
 # Counters of the summary. Its error is at most 3.5 / SUMMARY_ITEMS of the rows,
@@ -72,22 +72,6 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     )
 
 
-def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows that stay, with all their columns."""
-    kept = (
-        assign(docs, id_col, text_col)
-        .filter("kept")
-        .select(F.col("doc_id").alias("_kept_id"), F.col("text_sha256").alias("_kept_digest"))
-    )
-    tagged = docs.withColumn("_digest", F.sha2(text_or_empty(text_col), 256))
-    same = F.col("_digest") == F.col("_kept_digest")
-    same &= F.col(id_col).eqNullSafe(F.col("_kept_id"))
-    # Of rows that repeat both id and text any one will do; the window reuses
-    # the partitioning and order of the join.
-    copies = Window.partitionBy("_digest", id_col).orderBy("_digest")
-    return (
-        tagged.join(kept, same, "left_semi")
-        .withColumn("_copy", F.row_number().over(copies))
-        .filter("_copy = 1")
-        .select(*docs.columns)
-    )
+    return keep_rows(docs, assign(docs).withColumnRenamed("text_sha256", "digest"))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, packing, token_orc
+from tidemark.llm import decontaminate, exact_dedup, jaccard_join, packing, token_orc
 from tidemark.llm.common import on_workers, table
 from tidemark.session import scratch_path
 
@@ -110,3 +110,9 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     """Words of documents that lie in a passage of a benchmark item."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.mark(docs, items).drop("digest")
+
+
+@query()
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with their class of equal texts, group and number of similar texts."""
+    return jaccard_join.join(table(spark, sf_dir, "documents")).drop("digest", "leads")
