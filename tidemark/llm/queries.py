@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, jaccard_join, packing, token_orc
+from tidemark.llm import decontaminate, exact_dedup, jaccard_join, packing, quality_mil, token_orc
 from tidemark.llm.common import on_workers, table
 from tidemark.session import scratch_path
 
@@ -116,3 +116,10 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with their class of equal texts, group and number of similar texts."""
     return jaccard_join.join(table(spark, sf_dir, "documents")).drop("digest", "leads")
+
+
+@query()
+def op3_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document by attention over its passages."""
+    docs = table(spark, sf_dir, "documents")
+    return quality_mil.score(docs, quality_mil.fit(docs, table(spark, sf_dir, "labels")))
