@@ -9,7 +9,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, exact_dedup, jaccard_join, packing, quality_mil, token_orc
+from tidemark.llm import (
+    decontaminate,
+    exact_dedup,
+    jaccard_join,
+    packing,
+    quality_mil,
+    token_orc,
+    toxicity,
+)
 from tidemark.llm.common import on_workers, table
 from tidemark.session import scratch_path
 
@@ -123,3 +131,9 @@ def op3_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality of every document by attention over its passages."""
     docs = table(spark, sf_dir, "documents")
     return quality_mil.score(docs, quality_mil.fit(docs, table(spark, sf_dir, "labels")))
+
+
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document by weak supervision."""
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
