@@ -16,6 +16,7 @@ from tidemark.llm import (
     jaccard_join,
     packing,
     quality_mil,
+    secret_forest,
     token_orc,
     toxicity,
     url_sql,
@@ -179,3 +180,10 @@ def op4_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.judge(
         table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES
     )
+
+
+@query()
+def op6_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings in all documents, scored by the forest; texts of findings as digests."""
+    found = secret_forest.scan(table(spark, sf_dir, "documents"))
+    return found.withColumn("finding_sha256", F.sha2("finding", 256)).drop("finding")
