@@ -83,6 +83,18 @@ def column_bytes(array) -> list[bytes]:
     return [x if x is not None else b"" for x in array.cast(pa.binary()).to_pylist()]
 
 
+def free_names(frame: DataFrame, *names: str) -> list[str]:
+    """The names, changed where the frame has such a column already."""
+    taken = {c.lower() for c in frame.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        taken.add(name)
+        out.append(name)
+    return out
+
+
 def keep_rows(docs: DataFrame, verdict: DataFrame) -> DataFrame:
     """The rows of `docs` that stay, with all their columns.
 
@@ -91,17 +103,20 @@ def keep_rows(docs: DataFrame, verdict: DataFrame) -> DataFrame:
     broadcast them while they are few. Of rows that repeat both id and text,
     and of which one is to stay, any one will do.
     """
+    digest, copy, key_id, key_digest, stays = free_names(
+        docs, "_digest", "_copy", "_key_id", "_key_digest", "_stays"
+    )
     keys = (
         verdict.groupBy("doc_id", "digest")
-        .agg(F.max("kept").alias("_stays"), (F.count(F.lit(1)) > 1).alias("_repeats"))
-        .filter("not _stays or _repeats")
-        .withColumnsRenamed({"doc_id": "_key_id", "digest": "_key_digest"})
+        .agg(F.max("kept").alias(stays), (F.count(F.lit(1)) > 1).alias("repeats"))
+        .filter(f"not {stays} or repeats")
+        .select(F.col("doc_id").alias(key_id), F.col("digest").alias(key_digest), stays)
     )
-    same = F.col("_digest") == F.col("_key_digest")
-    same &= F.col("doc_id").eqNullSafe(F.col("_key_id"))
-    tagged = docs.withColumn("_digest", F.sha2(text_or_empty("text"), 256))
+    same = F.col(digest) == F.col(key_digest)
+    same &= F.col("doc_id").eqNullSafe(F.col(key_id))
+    tagged = docs.withColumn(digest, F.sha2(text_or_empty("text"), 256))
     alone = tagged.join(keys, same, "left_anti")
-    repeated = tagged.join(keys.filter("_stays"), same, "left_semi")
-    copies = Window.partitionBy("_digest", "doc_id").orderBy("_digest")
-    one = repeated.withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1")
+    repeated = tagged.join(keys.filter(stays), same, "left_semi")
+    copies = Window.partitionBy(digest, "doc_id").orderBy(digest)
+    one = repeated.withColumn(copy, F.row_number().over(copies)).filter(F.col(copy) == 1)
     return alone.select(*docs.columns).unionByName(one.select(*docs.columns))

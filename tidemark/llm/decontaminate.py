@@ -30,7 +30,14 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WordHashes, column_bytes, shingles, text_or_empty, words_of
+from tidemark.llm.common import (
+    WordHashes,
+    column_bytes,
+    free_names,
+    shingles,
+    text_or_empty,
+    words_of,
+)
 from tidemark.session import materialize
 
 WINDOW = 10
@@ -251,9 +258,10 @@ def mark(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents without any window of an item, with all their columns."""
-    hit = mark(docs, items).filter("contaminated").select(F.col("digest").alias("_hit"))
+    digest, hit = free_names(docs, "_digest", "_hit")
+    hits = mark(docs, items).filter("contaminated").select(F.col("digest").alias(hit))
     return (
-        docs.withColumn("_digest", F.sha2(text_or_empty("text"), 256))
-        .join(hit, F.col("_digest") == F.col("_hit"), "left_anti")
-        .drop("_digest")
+        docs.withColumn(digest, F.sha2(text_or_empty("text"), 256))
+        .join(hits.distinct(), F.col(digest) == F.col(hit), "left_anti")
+        .drop(digest)
     )
