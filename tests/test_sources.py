@@ -5,6 +5,7 @@ import json
 
 import pytest
 
+from tidemark.operators.upsert import PULLED_AT
 from tidemark.session import scratch_path
 from tidemark.sources import calendar as cal
 from tidemark.sources import payloads as pay
@@ -36,7 +37,7 @@ def test_series_payload(spark, tmp_path):
             433: [{"data": "01/02/2020", "valor": "0.25"}],
         },
     )
-    rows = load_series(spark, path).rows.orderBy("series_code", "date").collect()
+    rows = load_series(spark, path).rows.drop(PULLED_AT).orderBy("series_code", "date").collect()
     assert [tuple(r) for r in rows] == [
         (11, "selic_rate", "daily", "pct_per_year", dt.date(2020, 1, 2), 4.4, dt.datetime(2024, 1, 31, 7)),
         (11, "selic_rate", "daily", "pct_per_year", dt.date(2020, 1, 3), None, dt.datetime(2024, 1, 31, 7)),
@@ -93,7 +94,7 @@ def test_quote_payload(spark, tmp_path):
             "XYZ9": document(quote(dt.date(2020, 1, 2), volume=None)),
         },
     )
-    rows = load_quotes(spark, path).rows.orderBy("ticker").collect()
+    rows = load_quotes(spark, path).rows.drop(PULLED_AT).orderBy("ticker").collect()
     loaded_at = dt.datetime(2024, 1, 31, 7)
     assert [tuple(r) for r in rows] == [
         ("PETR4", "Petrobras", "Energy", "IBOVESPA", dt.date(2020, 1, 1),

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.row_groups import MAX_ROWS, group_rows, last_known
@@ -16,8 +16,12 @@ def forward_fill(
     order_by: str,
     columns: Sequence[str],
     max_rows: int = MAX_ROWS,
+    block: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
-    """Replace missing values by the latest known one of the same key."""
+    """Replace missing values by the latest known one of the same key.
+
+    ``max_rows`` and ``block`` as for ``group_rows``.
+    """
     runs = {c: last_known(F.col(c)) for c in columns}
-    groups = group_rows(df, keys, order_by, runs=runs, max_rows=max_rows)
+    groups = group_rows(df, keys, order_by, runs=runs, max_rows=max_rows, block=block)
     return groups.finish(groups.with_windows({})).select(*df.columns)

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialize
 from tidemark.sources.tables import (
+    check_unit,
     newest_date,
     periods_in,
     read_periods,
     replace_periods,
+    stored_periods,
     table_exists,
     write_table,
 )
@@ -70,16 +72,15 @@ def refresh_table(
     date_col: str,
     unit: str = "month",
     full_refresh: bool = False,
-    in_place: bool = False,
 ) -> None:
     """Delete and insert in the stored table, or replace it.
 
     ``batch`` is already cut to its look-back; only its periods are rewritten.
-    ``in_place`` as for ``write_table``.
     """
-    if full_refresh or not table_exists(spark, path):
-        write_table(batch, path, date_col, unit, in_place=in_place)
+    if full_refresh or not table_exists(spark, path) or not stored_periods(spark, path):
+        write_table(batch, path, date_col, unit)
         return
+    check_unit(spark, path, unit)
     rows = materialize(batch, "refresh-batch")
     periods = periods_in(rows, date_col, unit)
     if periods:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from tidemark.functions.rolling import rolling_columns
 from tidemark.operators.row_groups import MAX_ROWS, group_rows
@@ -18,8 +18,14 @@ def with_rolling_metrics(
     sizes: Sequence[int],
     aggregations: Sequence[str],
     max_rows: int = MAX_ROWS,
+    block: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
-    """``df`` with ``{aggregation}_{metric}_{size}d`` for every combination."""
-    groups = group_rows(df, [key], order_by, lookback=max(sizes) - 1, max_rows=max_rows)
+    """``df`` with ``{aggregation}_{metric}_{size}d`` for every combination.
+
+    ``max_rows`` and ``block`` as for ``group_rows``.
+    """
+    groups = group_rows(
+        df, [key], order_by, lookback=max(sizes) - 1, max_rows=max_rows, block=block
+    )
     metrics = rolling_columns(metric, groups.window, sizes, aggregations)
     return groups.finish(groups.rows.select("*", *metrics))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.keys import run_stamp
+from tidemark.session import materialize
 from tidemark.sources.tables import table_exists
 
 SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = (
@@ -20,7 +21,7 @@ SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = (
     "dbt_valid_to",
 )
 _HISTORY_COLUMNS = [SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO]
-_CLOSED_IN = "_closed_in"
+_CLOSED_IN, _OPEN = "_closed_in", "open"
 
 
 def one_row_per_key(source: DataFrame, key: str) -> DataFrame:
@@ -75,32 +76,52 @@ def scd2_table(
 ) -> None:
     """One run on a stored history.
 
-    Closed rows lie in a folder per run and are not read again; the open
-    folder and the one of this run are written in a single job.
+    Closed rows lie in a folder per run, named to the microsecond; those of
+    earlier runs are not read again. A run that is repeated, with the same or a
+    corrected source, first undoes what it did: it opens the rows again that it
+    had closed and forgets those that it had opened. The folder of this run is
+    written before the open rows, so that a run cut short between the two is
+    put right by repeating it.
     """
-    if table_exists(spark, path):
-        open_rows = spark.read.parquet(path).filter(F.col(_CLOSED_IN) == "open").drop(_CLOSED_IN)
-        rows = _merge_open(open_rows, source, key, check_cols, run_ts)
+    root = path.rstrip("/")
+    name = spark.range(1).select(F.date_format(run_stamp(run_ts), "yyyyMMdd'T'HHmmss.SSSSSS"))
+    own = f"{root}/{_CLOSED_IN}={name.first()[0]}"
+    closed_before = table_exists(spark, own)
+    if table_exists(spark, root):
+        state = spark.read.parquet(f"{root}/{_CLOSED_IN}={_OPEN}")
+        columns = state.columns
+        if closed_before:
+            state = state.unionByName(spark.read.parquet(own).withColumn(VALID_TO, _never()))
+        state = state.filter(F.col(VALID_FROM) != run_stamp(run_ts)).dropDuplicates([SCD_ID])
+        rows = _merge_open(state.select(*columns), source, key, check_cols, run_ts)
     else:
         rows = scd2_start(source, key, run_ts)
-    closed_in = F.coalesce(F.date_format(VALID_TO, "yyyyMMdd'T'HHmmss"), F.lit("open"))
-    rows.withColumn(_CLOSED_IN, closed_in).hint("rebalance", F.col(_CLOSED_IN)).write.mode(
-        "overwrite"
-    ).option("partitionOverwriteMode", "dynamic").partitionBy(_CLOSED_IN).parquet(path)
+    rows = materialize(rows, "history")
+    closed = rows.filter(F.col(VALID_TO).isNotNull())
+    if closed_before or not closed.isEmpty():
+        closed.write.mode("overwrite").parquet(own)
+    still_open = rows.filter(F.col(VALID_TO).isNull())
+    still_open.write.mode("overwrite").parquet(f"{root}/{_CLOSED_IN}={_OPEN}")
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(_CLOSED_IN)
 
 
+def _never() -> Column:
+    return F.lit(None).cast(T.TimestampNTZType())
+
+
 def _opened(key: Column, run_ts: dt.datetime | str) -> dict[str, Column]:
     stamp = run_stamp(run_ts)
     text = F.date_format(stamp, "yyyy-MM-dd HH:mm:ss")
+    fraction = F.date_format(stamp, "SSSSSS")
+    text = F.when(fraction == "000000", text).otherwise(F.concat(text, F.lit("."), fraction))
     return {
         SCD_ID: F.md5(F.concat_ws("|", key.cast("string"), text)),
         UPDATED_AT: stamp,
         VALID_FROM: stamp,
-        VALID_TO: F.lit(None).cast(T.TimestampNTZType()),
+        VALID_TO: _never(),
     }
 
 

@@ -12,6 +12,7 @@ from tidemark.functions.keys import required
 from tidemark.operators.quality import unique_combination
 from tidemark.session import materialize
 from tidemark.sources.tables import (
+    check_unit,
     periods_in,
     read_periods,
     replace_periods,
@@ -20,6 +21,11 @@ from tidemark.sources.tables import (
 )
 
 
+# When the provider was asked for a row. Stored beside the table's own columns and
+# read by upserts only; NULL where a batch does not say.
+PULLED_AT = "_pulled_at"
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Columns of a table by name: missing ones NULL, required ones enforced."""
     present = set(df.columns)
@@ -58,6 +64,19 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFram
     return kept.select(*target.columns).unionByName(batch, allowMissingColumns=True)
 
 
+def without_stale(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The batch without rows that were pulled before the target's row of that key."""
+    stored = target.filter(F.col(PULLED_AT).isNotNull()).select(
+        *keys, F.col(PULLED_AT).alias("_stored_pull")
+    )
+    stale = F.col("_stored_pull") > F.col(PULLED_AT)
+    return (
+        batch.join(stored, list(keys), "left")
+        .filter(~F.coalesce(stale, F.lit(False)))
+        .select(*batch.columns)
+    )
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -71,19 +90,34 @@ def upsert_table(
     """Upsert into a stored table, created on first use.
 
     Only periods that occur in the batch are read and rewritten. Loading a
-    batch again leaves the table as it is. Whole rows are shuffled to settle
-    duplicates only if a look at the keys finds any.
+    batch again leaves the table as it is. Of rows with the same key the one
+    pulled last wins, in the batch and against the table, however the rows are
+    dealt into batches; ``version`` decides between equal or unknown pulls, and
+    the batch wins over the table. Only rows of repeated keys are shuffled
+    whole to settle them.
     """
-    rows = materialize(conform(batch, schema), "upsert-batch")
-    if not unique_combination(*keys).failures(rows).isEmpty():
-        rows = materialize(newest_per_key(rows, keys, version), "upsert-newest")
+    stored_schema = T.StructType(
+        [*schema.fields, T.StructField(PULLED_AT, T.TimestampNTZType(), True)]
+    )
+    rows = materialize(conform(batch, stored_schema), "upsert-batch")
+    repeated = unique_combination(*keys).failures(rows).select(*keys)
+    if not repeated.isEmpty():
+        repeated = materialize(repeated, "upsert-repeated")
+        order = F.struct(F.coalesce(PULLED_AT, F.lit("0001-01-01").cast("timestamp_ntz")), version)
+        several = rows.join(repeated, list(keys), "left_semi").withColumn("_order", order)
+        settled = newest_per_key(several, keys, "_order").drop("_order")
+        rows = materialize(
+            rows.join(repeated, list(keys), "left_anti").unionByName(settled), "upsert-newest"
+        )
     if not table_exists(spark, path):
         write_table(rows, path, date_col, unit)
         return
+    check_unit(spark, path, unit)
     periods = periods_in(rows, date_col, unit)
     if periods:
-        target = read_periods(spark, path, periods, schema)
-        replace_periods(upsert(target, rows, keys), path, date_col, unit)
+        target = read_periods(spark, path, periods, stored_schema)
+        fresh = without_stale(target, rows, keys)
+        replace_periods(upsert(target, fresh, keys), path, date_col, unit)
 
 
 def load_report(table: DataFrame, batch: DataFrame, key: str) -> DataFrame:

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.incremental import lookback_start_of_table, refresh_table
+from tidemark.operators.quarantine import read_quarantine, store_rejects
 from tidemark.operators.quality import Check, freshness, require, run_checks
 from tidemark.operators.scd2 import read_history, scd2_table
-from tidemark.operators.upsert import known_values, upsert_table
+from tidemark.operators.upsert import known_values, load_report, upsert_table
 from tidemark.plans import checks
 from tidemark.plans.macro import int_macro_pivoted, mart_macro_indicators
 from tidemark.plans.market import int_market_returns
@@ -30,6 +31,9 @@ from tidemark.sources.tables import (
 )
 
 
+_REPORT = "table_rows long, batch_rows long, batch_keys long, table_name string"
+
+
 @dataclass(frozen=True)
 class Warehouse:
     """The stored tables below one folder, the large ones in folders per period."""
@@ -49,6 +53,10 @@ class Warehouse:
     def prices(self) -> DataFrame:
         return read_table(self.spark, self.path("raw/market_prices"), PRICES_SCHEMA)
 
+    @property
+    def quarantine(self) -> DataFrame:
+        return read_quarantine(self.spark, self.path("raw/quarantine"))
+
     @property
     def calendar(self) -> DataFrame:
         return self.spark.read.parquet(self.path("seeds/dim_calendar"))
@@ -94,19 +102,42 @@ class Warehouse:
 
 def load_raw(
     warehouse: Warehouse, series: DataFrame | None = None, prices: DataFrame | None = None
-) -> None:
-    """Upsert parsed payload rows; series without a value are not loaded."""
+) -> DataFrame:
+    """Upsert parsed payload rows; series without a value are not loaded.
+
+    A table without a batch is created empty if it is not there. Returns the
+    load report: rows of each table, rows and distinct keys of its batch.
+    """
+    spark = warehouse.spark
     loads = [
         ("raw/bacen_series", series, SERIES_SCHEMA, SERIES_KEY),
         ("raw/market_prices", prices, PRICES_SCHEMA, PRICES_KEY),
     ]
+    reports = []
     for table, batch, schema, keys in loads:
         if batch is None:
-            continue
+            if table_exists(spark, warehouse.path(table)):
+                continue
+            batch = spark.createDataFrame([], schema)
         if table == "raw/bacen_series":
             batch = known_values(batch, "value")
         path = warehouse.path(table)
-        upsert_table(warehouse.spark, path, batch, schema, keys, unit=warehouse.unit)
+        upsert_table(spark, path, batch, schema, keys, unit=warehouse.unit)
+        report = load_report(read_table(spark, path, schema), batch, keys[0])
+        reports.append(report.withColumn("table_name", F.lit(table)))
+    report = reports[0] if reports else spark.createDataFrame([], _REPORT)
+    for other in reports[1:]:
+        report = report.unionByName(other)
+    return report
+
+
+def hold_back(
+    warehouse: Warehouse, source: str, rejects: DataFrame, reason: str, run_ts: dt.datetime | str
+) -> None:
+    """Store what a run's parsing held back in the quarantine table."""
+    path = warehouse.path("raw/quarantine")
+    stamp = str(run_ts).replace(":", "").replace(" ", "T")
+    store_rejects(rejects, path, source, reason, run_ts, stamp)
 
 
 def load_calendar(warehouse: Warehouse, csv_path: str) -> None:
@@ -186,7 +217,6 @@ def _refresh_stock_mart(
             stored = warehouse.path("intermediate/int_market_returns")
             returns = read_since(warehouse.spark, stored, "trade_date", start, warehouse.unit)
     batch = mart_stock_performance(returns, warehouse.macro_pivoted, run_ts)
-    # The stored returns lie by period, and joining the small macro table keeps them so.
     refresh_table(
         warehouse.spark,
         path,
@@ -195,7 +225,6 @@ def _refresh_stock_mart(
         "trade_date",
         warehouse.unit,
         full_refresh=full_refresh,
-        in_place=True,
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.keys import run_stamp
+from tidemark.operators.upsert import PULLED_AT
 from tidemark.schemas import PRICES_SCHEMA, QUOTE_DOCUMENT, SERIES_RECORD, SERIES_SCHEMA
 
 # Code, name, frequency and unit of the known series.
@@ -68,6 +69,14 @@ def epoch_date(seconds: Column) -> Column:
     return F.date_from_unix_date(F.floor(seconds / 86_400).cast("int"))
 
 
+def with_pull(files: DataFrame) -> DataFrame:
+    """Adds the time at which a file landed, and its path: one file is one pull."""
+    pulled = F.to_timestamp_ntz(
+        F.date_format("_metadata.file_modification_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    )
+    return files.withColumns({PULLED_AT: pulled, "_file": F.col("_metadata.file_path")})
+
+
 def series_dimension(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         SERIES, "series_code int, series_name string, frequency string, unit string"
@@ -81,12 +90,9 @@ def ticker_dimension(spark: SparkSession) -> DataFrame:
 
 
 def read_series_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Records of all series files: series_code, data, valor as text."""
-    return (
-        spark.read.schema(f"{SERIES_RECORD}, series_code int")
-        .option("multiLine", multi_line)
-        .json(path)
-    )
+    """Records of all series files: series_code, data, valor as text, and the pull."""
+    records = spark.read.schema(f"{SERIES_RECORD}, series_code int")
+    return with_pull(records.option("multiLine", multi_line).json(path))
 
 
 def parse_series(
@@ -94,13 +100,15 @@ def parse_series(
     run_ts: dt.datetime | str,
     start: dt.date | None = None,
     end: dt.date | None = None,
+    held_back_by: Sequence[str] = ("series_code",),
 ) -> Loaded:
     """Known series between two dates; a series with a bad date is held back whole.
 
+    ``held_back_by`` may name the file as well, to hold back that pull alone.
     A value that is no number becomes NULL and stays (the upsert drops it).
-    The code list is closed, so the table of codes is broadcast as it is, and so
-    are the codes held back, at most one row each.
+    The code list is closed, so the table of codes is broadcast as it is.
     """
+    by = list(held_back_by)
     codes = F.broadcast(series_dimension(records.sparkSession))
     parsed = records.join(codes, "series_code").select(
         *records.columns,
@@ -110,23 +118,29 @@ def parse_series(
         day_first_date(F.col("data")).alias("date"),
         comma_decimal(F.col("valor")).alias("value"),
     )
-    bad_codes = parsed.filter(F.col("date").isNull()).groupBy("series_code").count()
-    bad_codes = F.broadcast(bad_codes.select("series_code"))
-    rows = parsed.join(bad_codes, "series_code", "left_anti")
+    bad = parsed.filter(F.col("date").isNull()).select(*by).distinct()
+    rows = parsed.join(bad, by, "left_anti")
     if start is not None:
         rows = rows.filter(F.col("date") >= F.lit(start))
     if end is not None:
         rows = rows.filter(F.col("date") <= F.lit(end))
-    rejects = parsed.join(bad_codes, "series_code", "left_semi").select(*records.columns)
+    rejects = parsed.join(bad, by, "left_semi").select(*records.columns)
     return Loaded(
-        rows.withColumn("ingested_at", run_stamp(run_ts)).select(*SERIES_SCHEMA.fieldNames()),
+        rows.withColumn("ingested_at", run_stamp(run_ts)).select(
+            *SERIES_SCHEMA.fieldNames(), *_pull_of(records)
+        ),
         rejects,
     )
 
 
+def _pull_of(frame: DataFrame) -> list[str]:
+    return [PULLED_AT] if PULLED_AT in frame.columns else []
+
+
 def read_quote_payloads(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """One row per payload, ticker and text, so that a bad one harms no other."""
-    return spark.read.schema("value string, ticker string").text(path, wholetext=multi_line)
+    files = spark.read.schema("value string, ticker string")
+    return with_pull(files.text(path, wholetext=multi_line))
 
 
 def parse_quotes(
@@ -135,7 +149,8 @@ def parse_quotes(
     start: dt.date | None = DEFAULT_START,
     tickers: Sequence[str] | None = None,
 ) -> Loaded:
-    """Daily quotes from payloads; unreadable or empty payloads are held back.
+    """Daily quotes from payloads; unreadable or empty payloads are held back,
+    and so are payloads with a quote that has no date.
 
     Only the first result of a payload counts. Tickers without metadata are
     named after themselves. Dividends and splits are not in the payload: 0.
@@ -145,11 +160,14 @@ def parse_quotes(
     document = F.from_json("value", QUOTE_DOCUMENT, {"mode": "PERMISSIVE"})
     quotes = F.get(document["results"], F.lit(0))["historicalDataPrice"]
     parsed = payloads.withColumn("_quotes", quotes)
-    empty = F.col("_quotes").isNull() | (F.size("_quotes") == 0)
+    bad = F.col("_quotes").isNull() | (F.size("_quotes") == 0)
+    bad |= F.exists("_quotes", lambda q: q.isNull() | q["date"].isNull())
+    pull = _pull_of(payloads)
 
     quoted = (
-        parsed.select("ticker", F.explode("_quotes").alias("_quote"))
-        .select("ticker", "_quote.*")
+        parsed.filter(~F.coalesce(bad, F.lit(True)))
+        .select("ticker", *pull, F.explode("_quotes").alias("_quote"))
+        .select("ticker", *pull, "_quote.*")
         .withColumn("date", epoch_date(F.col("date")))
         .withColumn("volume", F.round("volume").cast("bigint"))
         .withColumnRenamed("adjustedClose", "adj_close")
@@ -164,7 +182,8 @@ def parse_quotes(
         }
     )
     return Loaded(
-        rows.select(*PRICES_SCHEMA.fieldNames()), parsed.filter(empty).select(*payloads.columns)
+        rows.select(*PRICES_SCHEMA.fieldNames(), *pull),
+        parsed.filter(F.coalesce(bad, F.lit(True))).select(*payloads.columns),
     )
 
 

@@ -7,6 +7,7 @@ large table rewrite that day alone.
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -57,18 +58,48 @@ def read_periods(
 
 
 def newest_date(spark: SparkSession, path: str, date_col: str) -> dt.date | None:
-    """Latest date of a stored table, read from its latest period alone."""
-    rows = _read(spark, path)
-    period = rows.agg(F.max(PERIOD)).head()[0]
-    return rows.filter(F.col(PERIOD) == period).agg(F.max(date_col)).head()[0]
+    """Latest date of a stored table, read from its latest period alone.
+
+    The period is taken from the folders' names, without opening a file.
+    """
+    periods = stored_periods(spark, path)
+    if not periods:
+        return None
+    latest = spark.read.parquet(f"{path.rstrip('/')}/{PERIOD}={periods[-1]}")
+    return latest.agg(F.max(date_col)).head()[0]
+
+
+def stored_periods(spark: SparkSession, path: str) -> list[str]:
+    """The periods that a stored table has folders for, from its file listing."""
+    files = spark.read.schema(f"{PERIOD} string").parquet(path).inputFiles()
+    found = {m[1] for f in files if (m := re.search(rf"/{PERIOD}=([^/]+)/", f))}
+    return sorted(found - {"__HIVE_DEFAULT_PARTITION__"})
+
+
+def check_unit(spark: SparkSession, path: str, unit: str) -> None:
+    """Refuse a load by another period unit than the table's own.
+
+    Folders of two units would each hold rows of the same key.
+    """
+    letter = _PATTERNS[unit][1]
+    others = [p for p in stored_periods(spark, path) if not p.startswith(letter)]
+    if others:
+        raise ValueError(f"{path} is not stored by {unit}: it has the period {others[0]}")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when the folder holds a readable table, empty or not."""
+    """True when the folder holds a readable table, empty or not.
+
+    Only a path that is not there counts as no table. A folder without files is
+    an empty one, so that what an interrupted commit staged in it is not overwritten.
+    """
     try:
         spark.read.parquet(path)
-    except AnalysisException:
-        return False
+    except AnalysisException as failure:
+        if failure.getCondition() == "PATH_NOT_FOUND":
+            return False
+        if failure.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
     return True
 
 
@@ -96,16 +127,9 @@ def write_table(
     date_col: str,
     unit: str = "month",
     order_by: Sequence[str] = (),
-    in_place: bool = False,
 ) -> None:
-    """Replace a whole table, one folder per period.
-
-    ``in_place`` states that the rows already lie together by period, as those
-    read from such a table do, and saves the shuffle that gathers them.
-    """
-    rows = df.withColumn(PERIOD, period_of(date_col, unit))
-    if not in_place:
-        rows = _rebalanced(rows)
+    """Replace a whole table, one folder per period."""
+    rows = _rebalanced(df.withColumn(PERIOD, period_of(date_col, unit)))
     if order_by:
         rows = rows.sortWithinPartitions(PERIOD, *order_by)
     rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(

@@ -1,7 +1,9 @@
 """Landed payloads loaded as they arrive, by the same upserts as in batch.
 
 The file source remembers what it has read, and an upsert repeated after a
-failure changes nothing, so each payload takes effect once.
+failure changes nothing, so each payload takes effect once. One file is one pull:
+the newest pull of a key wins and a bad file is held back alone, so that the
+table is the same however the files fall into batches.
 """
 
 from __future__ import annotations
@@ -12,13 +14,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from tidemark.operators.quarantine import store_rejects
 from tidemark.operators.upsert import known_values, upsert_table
 from tidemark.schemas import PRICES_KEY, PRICES_SCHEMA, SERIES_KEY, SERIES_RECORD, SERIES_SCHEMA
-from tidemark.sources.payloads import DEFAULT_START, parse_quotes, parse_series
+from tidemark.sources.payloads import DEFAULT_START, parse_quotes, parse_series, with_pull
 
 # A large backlog is loaded in several upserts of at most so many files.
 FILES_PER_BATCH = 10_000
 
+_BAD_QUOTES = "unreadable, empty or without a date"
+_BAD_SERIES = "a date that is none"
+
 
 def load_quote_files(
     spark: SparkSession,
@@ -28,14 +34,23 @@ def load_quote_files(
     run_ts: dt.datetime | str,
     start: dt.date | None = DEFAULT_START,
     files_per_batch: int = FILES_PER_BATCH,
+    unit: str = "month",
+    quarantine: str | None = None,
+    multi_line: bool = False,
 ) -> StreamingQuery:
-    """Upsert every quote payload not loaded yet, then stop."""
+    """Upsert every quote payload not loaded yet, then stop.
+
+    Payloads held back are stored below ``quarantine``.
+    """
     stream = spark.readStream.schema("value string, ticker string")
-    payloads = stream.option("maxFilesPerTrigger", files_per_batch).text(landing)
+    files = stream.option("maxFilesPerTrigger", files_per_batch).option("wholetext", multi_line)
+    payloads = with_pull(files.text(landing))
 
-    def load(batch: DataFrame, _: int) -> None:
-        rows = parse_quotes(batch, run_ts, start).rows
-        upsert_table(spark, table_path, rows, PRICES_SCHEMA, PRICES_KEY)
+    def load(batch: DataFrame, number: int) -> None:
+        loaded = parse_quotes(batch, run_ts, start)
+        if quarantine is not None:
+            store_rejects(loaded.rejects, quarantine, "quotes", _BAD_QUOTES, run_ts, str(number))
+        upsert_table(spark, table_path, loaded.rows, PRICES_SCHEMA, PRICES_KEY, unit=unit)
 
     return _run_available(payloads, load, checkpoint)
 
@@ -47,17 +62,24 @@ def load_series_files(
     checkpoint: str,
     run_ts: dt.datetime | str,
     files_per_batch: int = FILES_PER_BATCH,
+    unit: str = "month",
+    quarantine: str | None = None,
+    multi_line: bool = False,
 ) -> StreamingQuery:
     """Upsert every series record not loaded yet, then stop.
 
-    A bad date holds back the records of its series in the same batch of files.
+    A bad date holds back its file, which is stored below ``quarantine``.
     """
     stream = spark.readStream.schema(f"{SERIES_RECORD}, series_code int")
-    records = stream.option("maxFilesPerTrigger", files_per_batch).json(landing)
-
-    def load(batch: DataFrame, _: int) -> None:
-        rows = known_values(parse_series(batch, run_ts).rows, "value")
-        upsert_table(spark, table_path, rows, SERIES_SCHEMA, SERIES_KEY)
+    files = stream.option("maxFilesPerTrigger", files_per_batch).option("multiLine", multi_line)
+    records = with_pull(files.json(landing))
+
+    def load(batch: DataFrame, number: int) -> None:
+        loaded = parse_series(batch, run_ts, held_back_by=["series_code", "_file"])
+        if quarantine is not None:
+            store_rejects(loaded.rejects, quarantine, "series", _BAD_SERIES, run_ts, str(number))
+        rows = known_values(loaded.rows, "value")
+        upsert_table(spark, table_path, rows, SERIES_SCHEMA, SERIES_KEY, unit=unit)
 
     return _run_available(records, load, checkpoint)
 

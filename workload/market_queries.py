@@ -146,6 +146,22 @@ def rolling_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_rounded(metrics, *metrics.columns[2:])
 
 
+@query("""
+select o_custkey, o_orderkey,
+       round(avg(o_totalprice) over three, 6) as avg_o_totalprice_3d,
+       round(avg(o_totalprice) over ten, 6) as avg_o_totalprice_10d
+from orders
+window three as (partition by o_custkey order by o_orderkey rows 2 preceding),
+       ten as (partition by o_custkey order by o_orderkey rows 9 preceding)""")
+def rolling_metrics_by_key_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A whole number as order column, and keys cut into chunks of a few rows."""
+    orders = fx.table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
+    metrics = with_rolling_metrics(
+        orders, "o_totalprice", "o_custkey", "o_orderkey", [3, 10], ["avg"], max_rows=5
+    ).drop("o_totalprice")
+    return with_rounded(metrics, *metrics.columns[2:])
+
+
 _FILL = f"""with {FX_PRICES}
 select ticker, date,
        last_value(dividends ignore nulls) over (

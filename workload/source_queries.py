@@ -7,9 +7,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.calendar import BRAZIL_HOLIDAYS
+from tidemark.functions.calendar import BRAZIL_HOLIDAYS, is_holiday, is_weekend
 from tidemark.functions.keys import surrogate_key as hash_key
-from tidemark.operators.upsert import known_values
+from tidemark.operators.upsert import PULLED_AT, known_values
+from tidemark.plans.daily_run import Warehouse, hold_back
 from tidemark.schemas import PRICES_SCHEMA
 from tidemark.session import scratch_path
 from tidemark.sources import calendar as cal
@@ -85,7 +86,7 @@ def series_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
         start=dt.date(1996, 1, 1),
         end=dt.date(2000, 12, 31),
     )
-    return known_values(loaded.rows, "value").drop("ingested_at")
+    return known_values(loaded.rows, "value").drop("ingested_at", PULLED_AT)
 
 
 @query(f"""with {_SERIES_ROWS}
@@ -159,7 +160,9 @@ loaded as (
 @query(f"with {_QUOTE_ROWS} select * from loaded where date >= date '1997-01-01'")
 def quote_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     payloads = pay.read_quote_payloads(spark, land_quotes(fx.market_prices(spark, sf_dir)))
-    return pay.parse_quotes(payloads, RUN_TS, start=dt.date(1997, 1, 1)).rows.drop("ingested_at")
+    return pay.parse_quotes(payloads, RUN_TS, start=dt.date(1997, 1, 1)).rows.drop(
+        "ingested_at", PULLED_AT
+    )
 
 
 @query(f"""with {_QUOTE_ROWS}
@@ -181,6 +184,58 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, table, PRICES_SCHEMA).drop("ingested_at")
 
 
+@query(f"""with {_QUOTE_ROWS},
+revised as (
+  select * exclude (adj_close),
+         case when date >= date '2000-01-01' then adj_close / 2 else adj_close end as adj_close
+  from loaded
+)
+select *, 'in parts' as read from revised union all by name select *, 'at once' as read from revised""")
+def stream_batches_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two pulls of the quotes, the later with lower prices, read in parts and at once."""
+    prices = fx.market_prices(spark, sf_dir)
+    landing = land_quotes(prices)
+    later = prices.filter("date >= date '2000-01-01'").withColumn(
+        "adj_close", F.col("adj_close") / 2
+    )
+    second = land_quotes(later)
+    spark.read.schema("value string, ticker string").text(second).write.mode("append").partitionBy(
+        "ticker"
+    ).text(landing)
+    files = len(spark.read.schema("value string, ticker string").text(landing).inputFiles())
+    tables = []
+    for read, batch in (("in parts", -(-files // 3)), ("at once", 10_000)):
+        table, checkpoint = scratch_path(spark, "stream-table"), scratch_path(spark, "checkpoint")
+        load_quote_files(
+            spark, landing, table, checkpoint, RUN_TS, None, batch, unit="year"
+        ).awaitTermination()
+        rows = read_table(spark, table, PRICES_SCHEMA).drop("ingested_at")
+        tables.append(rows.withColumn("read", F.lit(read)))
+    return tables[0].unionByName(tables[1])
+
+
+@query(f"""with {_SERIES_ROWS}
+select 'series' as source, cast(series_code as integer) as series_code, count(*) as held_back,
+       '{RUN_TS}' as run_ts
+from records join codes using (series_code)
+where series_code in (select series_code from records where unreadable and series_code <> 11)
+group by series_code""")
+def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a load held back, stored twice under one run and read again."""
+    new_years_eve = (F.month("o_orderdate") == 12) & (F.dayofmonth("o_orderdate") == 31)
+    bad = new_years_eve & (F.col("o_orderpriority") != "1-URGENT")
+    landing = _series_landing(spark, sf_dir, bad)
+    loaded = pay.parse_series(pay.read_series_payloads(spark, landing), RUN_TS)
+    warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
+    for _ in range(2):
+        hold_back(warehouse, "series", loaded.rejects, "a date that is none", RUN_TS)
+    return warehouse.quarantine.groupBy(
+        "source",
+        F.get_json_object("payload", "$.series_code").cast("int").alias("series_code"),
+        F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss").alias("run_ts"),
+    ).agg(F.count(F.lit(1)).alias("held_back"))
+
+
 @query(f"""with {_QUOTE_ROWS}
 select ticker, company, sector, market_index, count(*) as quotes from loaded group by all""")
 def ticker_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,6 +302,37 @@ def calendar_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cal.read_calendar_csv(spark, path)
 
 
+# The holidays of the years that the shifted order dates fall into, once more.
+_HOLIDAYS = """
+  ('01-01'), ('04-21'), ('05-01'), ('09-07'), ('10-12'), ('11-02'), ('11-15'), ('12-25'),
+  ('2020-02-24'), ('2020-02-25'), ('2020-04-10'), ('2020-06-11'),
+  ('2021-02-15'), ('2021-02-16'), ('2021-04-02'), ('2021-06-03'),
+  ('2022-02-28'), ('2022-03-01'), ('2022-04-15'), ('2022-06-16'),
+  ('2023-02-20'), ('2023-02-21'), ('2023-04-07'), ('2023-06-08'),
+  ('2024-02-12'), ('2024-02-13'), ('2024-03-29'), ('2024-05-30'),
+  ('2025-03-03'), ('2025-03-04'), ('2025-04-18'), ('2025-06-19'),
+  ('2026-02-16'), ('2026-02-17'), ('2026-04-03'), ('2026-06-04')"""
+
+
+@query(f"""
+with holidays(h) as (values {_HOLIDAYS}),
+days as (
+  select cast(o_orderdate + interval '300 months' as date) as full_date, count(*) as orders
+  from orders group by 1
+)
+select full_date, orders,
+       isodow(full_date) < 6
+         and strftime(full_date, '%m-%d') not in (select h from holidays)
+         and strftime(full_date, '%Y-%m-%d') not in (select h from holidays) as is_business_day
+from days""")
+def calendar_holidays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order days 25 years on, so that holidays of single years lie among them."""
+    shifted = F.add_months(F.col("o_orderdate").cast("date"), 300).alias("full_date")
+    days = fx.table(spark, sf_dir, "orders").groupBy(shifted).agg(F.count(F.lit(1)).alias("orders"))
+    business = (~is_weekend(F.col("full_date")) & ~is_holiday(F.col("full_date"))).alias("is_business_day")
+    return days.select("full_date", "orders", business)
+
+
 @query("""
 with bounds as (
   select cast(date_trunc('month', min(o_orderdate)) as date) as first,

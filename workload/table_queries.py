@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.keys import run_stamp
 from tidemark.operators import incremental, scd2
@@ -90,6 +91,41 @@ def upsert_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.withColumn("loaded_on", F.col("ingested_at").cast("date")).drop("ingested_at")
 
 
+_PULLED = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType(), False),
+        T.StructField("o_orderdate", T.DateType(), False),
+        T.StructField("o_totalprice", T.DoubleType(), True),
+        T.StructField("ingested_at", T.TimestampNTZType(), False),
+    ]
+)
+
+
+@query("""
+select o_orderkey, cast(o_orderdate as date) as o_orderdate,
+       case when o_orderkey % 2 = 0 then o_totalprice / 4 else o_totalprice end as o_totalprice
+from orders""")
+def upsert_revised_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later pulls lower half of the prices; one load has two pulls, another comes late."""
+    orders = _orders(spark, sf_dir).select("o_orderkey", "o_orderdate", "o_totalprice")
+
+    def pull(rows: DataFrame, hour: int, divided_by: int) -> DataFrame:
+        return rows.withColumns(
+            {
+                "o_totalprice": F.col("o_totalprice") / divided_by,
+                "ingested_at": run_stamp(RUNS[0]),
+                keyed.PULLED_AT: run_stamp(f"2024-01-01 0{hour}:00:00"),
+            }
+        )
+
+    path = scratch_path(spark, "pulls")
+    even = orders.filter("o_orderkey % 2 = 0")
+    newest, old = pull(even, 3, 4), pull(orders, 1, 1)
+    for batch in (newest.unionByName(old), pull(even, 2, 2)):
+        keyed.upsert_table(spark, path, batch, _PULLED, ["o_orderkey"], "o_orderdate", unit="year")
+    return read_table(spark, path, _PULLED).drop("ingested_at")
+
+
 @query("""
 select (select count(*) from orders) as table_rows, count(*) as batch_rows,
        count(distinct o_custkey) as batch_keys
@@ -300,6 +336,27 @@ def scd2_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _shown(scd2.read_history(spark, path))
 
 
+@query(_versions(_version("old", "had", 0, 1)))
+def scd2_table_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run without any key closes every row of the stored history."""
+    path = scratch_path(spark, "scd2")
+    v1 = fx.metadata_v1(spark, sf_dir)
+    for source, run_ts in zip((v1, v1.limit(0)), RUNS, strict=False):
+        scd2.scd2_table(spark, path, source, SNAPSHOT_KEY, CHECK_COLUMNS, run_ts)
+    return _shown(scd2.read_history(spark, path))
+
+
+@query(_versions(*_AFTER_SECOND))
+def scd2_table_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run is repeated with a corrected source: only that one counts."""
+    path = scratch_path(spark, "scd2")
+    v1, v2 = fx.metadata_v1(spark, sf_dir), fx.metadata_v2(spark, sf_dir)
+    wrong = v2.withColumn("sector", F.lit("wrong")).limit(7)
+    for source, run_ts in ((v1, RUNS[0]), (wrong, RUNS[1]), (v1.limit(0), RUNS[1]), (v2, RUNS[1])):
+        scd2.scd2_table(spark, path, source, SNAPSHOT_KEY, CHECK_COLUMNS, run_ts)
+    return _shown(scd2.read_history(spark, path))
+
+
 # All layers
 
 
