@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.rolling import with_rolling_metrics
 from tidemark.operators.row_groups import group_rows, last_known, running_max, running_sum
 
 FRAMES = [1, 2, 5, 40]
@@ -99,3 +100,26 @@ def test_hot_key_is_spread(spark):
     groups = group_rows(df, ["k"], "d", 5, max_rows=100)
     largest = groups.rows.groupBy("k", "_chunk").count().agg(F.max("count")).head()[0]
     assert largest <= 100 + 5 + 2 * 31
+
+
+def test_order_columns_without_a_default_block_are_refused_at_any_size(spark):
+    rows = [("a", "x", 1.0), ("a", "y", 3.0)]
+    df = spark.createDataFrame(rows, "k string, d string, v double")
+    with pytest.raises(TypeError, match="name a block"):
+        with_rolling_metrics(df, "v", "k", "d", [2], ["avg"])
+    named = with_rolling_metrics(
+        df, "v", "k", "d", [2], ["avg"], max_rows=1, block=lambda d: F.substring(d, 1, 1)
+    )
+    assert sorted(r.avg_v_2d for r in named.collect()) == [1.0, 2.0]
+
+
+def test_a_hot_month_of_minutes_is_split(spark):
+    start = dt.datetime(2024, 1, 1)
+    rows = [("a", start + dt.timedelta(minutes=n), float(n)) for n in range(2000)]
+    df = spark.createDataFrame(rows, "k string, at timestamp_ntz, v double")
+    groups = group_rows(df, ["k"], "at", 4, max_rows=100)
+    sizes = [r["count"] for r in groups.rows.groupBy("_chunk").count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 300
+    split = with_rolling_metrics(df, "v", "k", "at", [5], ["avg"], max_rows=100)
+    whole = with_rolling_metrics(df, "v", "k", "at", [5], ["avg"])
+    assert sorted(map(tuple, split.collect())) == sorted(map(tuple, whole.collect()))

@@ -5,10 +5,14 @@ import json
 
 import pytest
 
+from tidemark.operators.quarantine import read_quarantine
 from tidemark.operators.upsert import PULLED_AT
+from tidemark.schemas import SERIES_SCHEMA
 from tidemark.session import scratch_path
 from tidemark.sources import calendar as cal
 from tidemark.sources import payloads as pay
+from tidemark.sources.tables import read_table
+from tidemark.streaming.ingest import load_series_files
 
 RUN_TS = "2024-01-31 07:00:00"
 
@@ -188,3 +192,28 @@ def test_date_spine_excludes_its_end(spark):
     bounds = spark.sql("select date '2024-01-01' as a, date '2024-01-04' as b")
     found = [r[0].day for r in cal.date_spine(bounds, "a", "b").collect()]
     assert sorted(found) == [1, 2, 3]
+
+
+def test_a_quote_without_a_date_holds_back_its_payload_alone(spark, tmp_path):
+    good, bad = quote(dt.date(2020, 1, 2)), dict(quote(dt.date(2020, 1, 3)), date=None)
+    path = land(tmp_path, "ticker", {"GOOD3": document(good), "BAD3": document(good, bad)})
+    for start in (None, dt.date(2020, 1, 1)):
+        loaded = load_quotes(spark, path, start=start)
+        assert [r.ticker for r in loaded.rows.collect()] == ["GOOD3"]
+        assert [r.ticker for r in loaded.rejects.collect()] == ["BAD3"]
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 100])
+def test_a_bad_series_file_is_held_back_alone(spark, tmp_path, files_per_batch):
+    for number, date in enumerate(["02/01/2020", "n/d"]):
+        folder = tmp_path / "landing" / "series_code=11"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{number}.json").write_text(json.dumps([{"data": date, "valor": "1,5"}]))
+    table, quarantine = str(tmp_path / "table"), str(tmp_path / "quarantine")
+    load_series_files(
+        spark, str(tmp_path / "landing"), table, str(tmp_path / "checkpoint"), RUN_TS,
+        files_per_batch, quarantine=quarantine,
+    ).awaitTermination()
+    assert [r.value for r in read_table(spark, table, SERIES_SCHEMA).collect()] == [1.5]
+    held = read_quarantine(spark, quarantine).collect()
+    assert [json.loads(r.payload)["data"] for r in held] == ["n/d"]

@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 from rows import LOADED, day, observation, prices, quote, series
 
 from tidemark.operators.incremental import (
@@ -13,10 +14,24 @@ from tidemark.operators.incremental import (
     since,
     since_by_key,
 )
-from tidemark.operators.upsert import conform, known_values, newest_per_key, upsert, upsert_table
+from tidemark.operators.quarantine import read_quarantine, store_rejects
+from tidemark.operators.upsert import (
+    PULLED_AT,
+    conform,
+    known_values,
+    newest_per_key,
+    upsert,
+    upsert_table,
+)
 from tidemark.schemas import PRICES_KEY, PRICES_SCHEMA, SERIES_KEY, SERIES_SCHEMA
 from tidemark.session import scratch_path
-from tidemark.sources.tables import read_since, read_table, write_sorted
+from tidemark.sources.tables import (
+    newest_date,
+    read_since,
+    read_table,
+    table_exists,
+    write_sorted,
+)
 
 LATER = LOADED + dt.timedelta(days=1)
 
@@ -221,3 +236,65 @@ def test_sorted_write(spark):
     spans = sorted((min(d), max(d)) for d in by_file.values())
     assert all(d == sorted(d) for d in by_file.values())
     assert all(a[1] < b[0] for a, b in zip(spans, spans[1:], strict=False))
+
+
+def test_newest_pull_wins_in_any_batch(spark):
+    def pulled(value, hour, when):
+        row = known_values(series(spark, [observation("cdi_rate", day(0), value, when)]), "value")
+        return row.withColumn(PULLED_AT, F.lit(f"2024-01-01 {hour:02}:00:00").cast("timestamp_ntz"))
+
+    old, new = pulled(9.0, 1, LATER), pulled(8.0, 2, LOADED)
+    for batches in ([old, new], [new, old], [old.unionByName(new)], [new.unionByName(old)]):
+        path = scratch_path(spark, "t")
+        for batch in batches:
+            upsert_table(spark, path, batch, SERIES_SCHEMA, SERIES_KEY)
+        assert [v for _, _, v in stored(spark, path)] == [8.0]
+
+
+def test_only_repeated_keys_are_shuffled_whole(spark):
+    path = scratch_path(spark, "t")
+    rows = [observation("cdi_rate", day(n % 50), float(n)) for n in range(60)]
+    load(spark, path, rows)
+    assert len(stored(spark, path)) == 50
+
+
+def test_another_period_unit_is_refused(spark):
+    path = scratch_path(spark, "t")
+    batch = series(spark, [observation("cdi_rate", day(0), 1.0)])
+    upsert_table(spark, path, batch, SERIES_SCHEMA, SERIES_KEY, unit="day")
+    with pytest.raises(ValueError, match="not stored by month"):
+        upsert_table(spark, path, batch, SERIES_SCHEMA, SERIES_KEY)
+    with pytest.raises(ValueError, match="not stored by year"):
+        refresh_table(spark, path, batch, SERIES_KEY, "date", unit="year")
+
+
+def test_an_empty_batch_creates_the_table(spark):
+    path = scratch_path(spark, "t")
+    assert not table_exists(spark, path)
+    upsert_table(spark, path, series(spark, []), SERIES_SCHEMA, SERIES_KEY)
+    assert table_exists(spark, path) and stored(spark, path) == []
+    assert newest_date(spark, path, "date") is None
+    load(spark, path, [observation("cdi_rate", day(0), 1.0)])
+    assert len(stored(spark, path)) == 1
+
+
+def test_newest_date_reads_one_folder(spark, tmp_path):
+    path = str(tmp_path / "t")
+    load(spark, path, [observation("cdi_rate", dt.date(2024, m, 3), 1.0) for m in (1, 2, 3)])
+    # Earlier periods are not opened: what cannot be read there does no harm.
+    for part in tmp_path.glob("t/_period=m2024-01/*.parquet"):
+        part.write_bytes(b"no parquet")
+        part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
+    assert newest_date(spark, path, "date") == dt.date(2024, 3, 3)
+
+
+def test_quarantine_keeps_each_batch_once(spark):
+    path = scratch_path(spark, "q")
+    assert read_quarantine(spark, path).collect() == []
+    rejects = spark.createDataFrame([("n/d", 11, "f")], "data string, series_code int, _file string")
+    for batch in ("1", "2", "2"):
+        store_rejects(rejects, path, "series", "bad date", LOADED, batch)
+    rows = read_quarantine(spark, path).collect()
+    assert [(r.source, r.reason, r.payload, r.run_ts) for r in rows] == [
+        ("series", "bad date", '{"data":"n/d","series_code":11}', LOADED)
+    ] * 2
