@@ -41,6 +41,7 @@ MIN_DOCUMENTS = 6
 MIN_DEVIATIONS = 4.0
 MINED = 8
 PREFIX_BYTES = 6
+RIDGE = 0.05
 
 # Words of abuse, by kind.
 INSULTS = """idiot idiots moron morons stupid dumb scum trash garbage loser losers pathetic
@@ -62,12 +63,19 @@ _hashes = WordHashes()
 
 
 def terms_of(text: bytes) -> set[bytes]:
-    """Words of a text and, marked by ^, the beginnings of longer words.
+    """Words of a text; the beginnings of longer words, marked by ^; and those that
+    begin several different words, marked by ^^.
 
-    The beginnings find inflected and compound forms that are too rare alone.
+    Beginnings find inflected and compound forms that are too rare alone.
     """
     words = set(words_of(text))
-    return words | {b"^" + w[:PREFIX_BYTES] for w in words if len(w) > PREFIX_BYTES}
+    once: set[bytes] = set()
+    again: set[bytes] = set()
+    for word in words:
+        if len(word) > PREFIX_BYTES:
+            start = word[:PREFIX_BYTES]
+            (again if start in once else once).add(start)
+    return words | {b"^" + s for s in once} | {b"^^" + s for s in again}
 
 
 def mined_terms(sample: DataFrame) -> list[tuple[bytes, float]]:
@@ -234,20 +242,33 @@ class LabelModel:
         self.discount[:-1] = 1 / (1 + strong.sum(axis=1))
 
 
-def train_linear(features: np.ndarray, target: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Logistic regression on soft labels by Newton steps; the last weight is the bias."""
+def train_linear(
+    features: np.ndarray, target: np.ndarray, weight: np.ndarray, signs: np.ndarray
+) -> np.ndarray:
+    """Logistic regression on soft labels by projected gradients; the last weight is the bias.
+
+    A voter or term only ever counts for the label that it marks (`signs`), so that a
+    chance pattern of the sample cannot turn one mark against another.
+    """
     x = np.column_stack([features, np.ones(len(features))])
-    ridge = np.full(x.shape[1], 0.05)
-    ridge[-1] = 1e-3
-    w = np.zeros(x.shape[1])
+    ridge = np.append(np.full(features.shape[1], RIDGE), 0.0)
+    low = np.append(np.where(signs < 0, -np.inf, 0.0), -np.inf)
+    high = np.append(np.where(signs < 0, 0.0, np.inf), np.inf)
+    # The largest curvature bounds the step: power iteration on the data's moments.
+    direction = np.ones(x.shape[1])
     for _ in range(30):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (weight * (p - target)) + ridge * w
-        curve = (x * (weight * p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge)
-        step = np.linalg.solve(curve, slope)
-        w -= step
-        if np.abs(step).max() < 1e-7:
-            break
+        direction = x.T @ (weight * (x @ direction))
+        direction /= np.linalg.norm(direction)
+    step = 1 / (np.linalg.norm(x.T @ (weight * (x @ direction))) / 4 + RIDGE)
+    w = ahead = np.zeros(x.shape[1])
+    pace = 1.0
+    for _ in range(600):
+        p = 1 / (1 + np.exp(-np.clip(x @ ahead, -30, 30)))
+        new = ahead - step * (x.T @ (weight * (p - target)) + ridge * ahead)
+        new = np.clip(new, low, high)
+        faster = (1 + np.sqrt(1 + 4 * pace**2)) / 2
+        ahead = new + (pace - 1) / faster * (new - w)
+        w, pace = new, faster
     return w
 
 
@@ -305,6 +326,7 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFr
             _features(votes, [t["words"] for t in taught], len(mined)),
             label_model.posterior(votes, label),
             weight,
+            np.concatenate([np.ones(VOTERS), [np.sign(z) for _, z in mined]]),
         )
 
     def scored(batches: Iterator) -> Iterator:
