@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 # Entries that a cache inside a Python worker may hold before it starts anew.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 400_000
 
 # Odd multipliers of the word positions in a shingle: a fixed rule, so that
 # every task and every run hashes alike.
@@ -76,11 +77,13 @@ def shingles(word_hashes: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def column_bytes(array) -> list[bytes]:
-    """Values of an Arrow text column as UTF-8 bytes; null is empty."""
+def column_bytes(array) -> Iterator[bytes]:
+    """Values of an Arrow text column as UTF-8 bytes, a few at a time; null is empty."""
     import pyarrow as pa
 
-    return [x if x is not None else b"" for x in array.cast(pa.binary()).to_pylist()]
+    for start in range(0, len(array), 256):
+        for value in array.slice(start, 256).cast(pa.binary()).to_pylist():
+            yield b"" if value is None else value
 
 
 def free_names(frame: DataFrame, *names: str) -> list[str]:

@@ -29,7 +29,7 @@ from tidemark.session import materialize
 
 SHARD_PIECES = 16_384
 # Bytes of ids in one Arrow batch that a task hands back.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 PIECES = "tag long, doc_id long, piece int, start long, length long, ids binary"
 

@@ -17,7 +17,7 @@ Rows keep their order of columns; extra columns travel along untouched in `keep`
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -208,7 +208,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model |
         import pyarrow as pa
 
         for batch in batches:
-            features, counts = encode(column_bytes(batch.column(2)))
+            features, counts = encode(list(column_bytes(batch.column(2))))
             bounds = np.concatenate([[0], np.cumsum(counts)])
             bags = [features[a:b].tobytes() for a, b in zip(bounds, bounds[1:])]
             columns = [batch.column(0), batch.column(1), pa.array(bags, pa.binary())]
@@ -234,16 +234,18 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> Model |
     )
 
 
-def score_texts(model: Model | float, texts: list[bytes]) -> np.ndarray:
+def score_texts(model: Model | float, texts: Iterable[bytes]) -> np.ndarray:
     if not isinstance(model, Model):
-        return np.full(len(texts), float(model))
+        return np.full(sum(1 for _ in texts), float(model))
     out, held, size = [], [], 0
-    for i, text in enumerate(texts):
+    for text in texts:
         held.append(text)
         size += len(text) + PASSAGE_BYTES
-        if size >= BLOCK_BYTES or i == len(texts) - 1:
+        if size >= BLOCK_BYTES:
             out.append(model.forward(*encode(held))["score"])
             held, size = [], 0
+    if held:
+        out.append(model.forward(*encode(held))["score"])
     return np.concatenate(out) if out else np.empty(0)
 
 

@@ -20,12 +20,13 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
 from tidemark.llm.common import column_bytes
+from tidemark.session import materialize
 
 SCHEMA = "row_id long, doc_id long, ids array<int>"
 STRIPE_BYTES = 64 << 20
 INDEX_ROWS = 1_000
 # Bytes of ids in one Arrow batch that a task hands back.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def write(
@@ -118,9 +119,10 @@ def summary(stored: DataFrame) -> DataFrame:
             names = ["row_id", "doc_id", "n_tokens", "ids_crc32"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    rows = stored.mapInArrow(
-        measured, "row_id long, doc_id long, n_tokens long, ids_crc32 long"
-    ).withColumn("file", F.shiftright("row_id", 33))
+    schema = "row_id long, doc_id long, n_tokens long, ids_crc32 long"
+    rows = materialize(stored.mapInArrow(measured, schema), "measured").withColumn(
+        "file", F.shiftright("row_id", 33)
+    )
     # One row per file: the only window that is not split, over as many rows as
     # files were written.
     before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)

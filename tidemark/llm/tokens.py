@@ -4,7 +4,8 @@ A vocabulary splits a text into pieces before it merges bytes, and no piece
 crosses certain places; the text between two such places ("chunk") is encoded
 by the `tokenizers` library once per worker and kept as bytes of little-endian
 32-bit ids, so that a text's ids are the chunks' ids joined. The results are
-those of encoding the text at once.
+those of encoding the text at once. A chunk that is one run of Latin letters needs no
+splitting and goes straight to the library's merges.
 """
 
 from __future__ import annotations
@@ -24,6 +25,20 @@ _SAFE_SPACE = re.compile(rb" (?=[!-~])")
 # past a line break between two printable characters.
 _INNER = re.compile(rb"(?<=[A-Za-z])(?=[\t-\r!-@\[-`{-~])|(?<=[!-~]\n)(?=[!-~])")
 
+# One run of ASCII and Latin-1 letters: a single piece in these vocabularies.
+_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+
+
+def _byte_symbols() -> dict[int, int]:
+    """Byte-level vocabularies write a byte as the character of its number if that is
+    visible in Latin-1, and number the other bytes from 256 on."""
+    visible = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: 256 + i for i, b in enumerate(hidden)}
+
+
+_SYMBOLS = _byte_symbols()
+
 
 def load(vocabulary: str):
     """The tokenizer of a file; strings of special tokens in texts are ordinary text."""
@@ -38,9 +53,17 @@ def load(vocabulary: str):
 class _Chunks(dict):
     """Ids of chunks behind a fixed prefix, for the first CACHE_ENTRIES met."""
 
-    def __init__(self, tokenizer, prefix: str, tails: _Chunks | None = None, checked: bool = False):
+    def __init__(
+        self,
+        tokenizer,
+        prefix: bytes = b"",
+        tails: _Chunks | None = None,
+        checked: bool = False,
+        lower: bool = False,
+    ):
         super().__init__()
-        self.tokenizer, self.prefix, self.checked = tokenizer, prefix, checked
+        self.tokenizer, self.merges = tokenizer, tokenizer.model.tokenize
+        self.prefix, self.checked, self.lower = prefix, checked, lower
         self.tails = self if tails is None else tails
 
     def __missing__(self, chunk: bytes) -> bytes:
@@ -48,8 +71,13 @@ class _Chunks(dict):
             raise ValueError("white space next to the space")
         parts = _INNER.split(chunk)
         if len(parts) == 1:
-            text = self.prefix + chunk.decode("utf-8", "replace")
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            if _LETTERS.fullmatch(chunk):
+                letters = chunk.decode().lower().encode() if self.lower else chunk
+                symbols = (self.prefix + letters).decode("latin-1").translate(_SYMBOLS)
+                ids = [token.id for token in self.merges(symbols)]
+            else:
+                text = (self.prefix + chunk).decode("utf-8", "replace")
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             value = np.array(ids, dtype="<u4").tobytes()
         else:
             tails = map(self.tails.__getitem__, parts[1:])
@@ -63,9 +91,9 @@ class SpacePrefixed:
     """Byte-level vocabularies in which a space belongs to the word after it."""
 
     def __init__(self, tokenizer):
-        self.head = _Chunks(tokenizer, "")
-        self.plain = _Chunks(tokenizer, " ", self.head, checked=True)
-        self.mixed = _Chunks(tokenizer, " ", self.head)
+        self.head = _Chunks(tokenizer)
+        self.plain = _Chunks(tokenizer, b" ", self.head, checked=True)
+        self.mixed = _Chunks(tokenizer, b" ", self.head)
 
     def encode(self, text: bytes) -> bytes:
         chunks = text.split(b" ")
@@ -81,7 +109,7 @@ class SpaceFree:
     """Vocabularies that drop white space and lower-case the text."""
 
     def __init__(self, tokenizer):
-        self.words = _Chunks(tokenizer, "")
+        self.words = _Chunks(tokenizer, lower=True)
 
     def encode(self, text: bytes) -> bytes:
         # Lower-casing first finds more chunks known; only in plain ASCII does
