@@ -9,13 +9,19 @@ from tidemark.session import materialize
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
-    return links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    turned = links.select(F.col("b").alias("a"), F.col("a").alias("b"))
+    return links.select("a", "b").unionByName(turned)
 
 
 def _large_star(links: DataFrame) -> DataFrame:
-    """Neighbours above a node move to the smallest node of its neighbourhood."""
+    """Neighbours above a node move to the smallest node of its neighbourhood.
+
+    The smallest nodes are stored before the join, so that Spark sees their size and
+    can split the rows of a node with very many neighbours.
+    """
     near = _both_ways(links)
     least = near.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
+    least = materialize(least, "least")
     return (
         near.filter("b > a")
         .join(least, "a")
@@ -52,4 +58,5 @@ def components(links: DataFrame) -> DataFrame:
             break
         before = after
     stars = links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-    return stars.unionByName(links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+    roots = links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    return stars.unionByName(roots)
