@@ -26,25 +26,18 @@ from tidemark.session import materialize
 SUMMARY_ITEMS = 2048
 # Digests that are broadcast at most: no more can have 0.2 % of the rows each.
 FREQUENT_MAX = 512
-MERGERS = 256
+SUMMARIES = 1024
 
 
 def frequent_digests(rows: DataFrame, digest: str) -> DataFrame:
     """Candidates of the summary, at most FREQUENT_MAX digests.
 
-    Each task sends one summary; they are merged in MERGERS tasks, then in one.
+    At most SUMMARIES tasks send a summary each to the one that merges them.
     """
-    if rows.isEmpty():  # nothing to merge
-        return rows.select(digest)
-    merger = (F.spark_partition_id() % MERGERS).alias("merger")
-    parts = rows.groupBy(merger).agg(
-        F.expr(f"approx_top_k_accumulate({digest}, {SUMMARY_ITEMS})").alias("summary")
-    )
-    whole = parts.agg(F.expr(f"approx_top_k_combine(summary, {SUMMARY_ITEMS})").alias("summary"))
-    top = F.expr(f"approx_top_k_estimate(summary, {FREQUENT_MAX})")
-    return whole.select(F.explode(top).alias("top")).select(
-        F.col("top.item").alias(digest)
+    summary = rows.coalesce(SUMMARIES).agg(
+        F.expr(f"approx_top_k({digest}, {FREQUENT_MAX}, {SUMMARY_ITEMS})").alias("top")
     )
+    return summary.select(F.explode("top").alias("top")).select(F.col("top.item").alias(digest))
 
 
 def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
