@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 # lower-casing A-Z) and every code point above 127.
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
-# Entries that a cache inside a Python worker may hold before it starts anew.
+# Entries that the caches inside a Python worker may hold: ids of text chunks, and
+# hashes of words (which then start anew).
 CACHE_ENTRIES = 400_000
+HASH_ENTRIES = 150_000
 
 # Odd multipliers of the word positions in a shingle: a fixed rule, so that
 # every task and every run hashes alike.
@@ -54,7 +56,7 @@ class WordHashes(dict):
     """64-bit hash per word, computed once per worker and word."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_ENTRIES:
+        if len(self) >= HASH_ENTRIES:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value

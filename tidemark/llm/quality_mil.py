@@ -35,7 +35,7 @@ CODE = 16
 ATTENTION = 8
 EPOCHS = 120
 # Documents are encoded together up to so many bytes, longer ones alone in parts.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 # Byte classes: fixed values, by what a byte is in UTF-8 text.
 _GROUPS = [
