@@ -238,6 +238,18 @@ def test_bad_branches_are_blocked_and_variable_ones_generalised(spark):
     assert {r.template for r in rows if r.host == "g.net"} == {"/*/*"}
 
 
+def test_bad_branch_among_many_siblings(spark):
+    urls, known = [], []
+    for i in range(900):
+        branch = "spam" if i % 3 == 0 else "".join(chr(97 + (i * k) % 26) for k in (3, 7, 11))
+        urls.append((i, f"http://h.net/{branch}/{i}.html"))
+        known.append((i, int(branch != "spam"), 0))
+    assert len({u.split("/")[3] for _, u in urls}) > 24
+    rows = url_templates.judge(pages(spark, urls), labels(spark, known), []).collect()
+    assert {r.template for r in rows if "/spam/" in r.path} == {"/spam/*"}
+    assert all((r.verdict == "block") == ("/spam/" in r.path) for r in rows)
+
+
 # Secrets
 
 

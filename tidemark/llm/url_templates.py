@@ -2,9 +2,9 @@
 
 Digits in path segments become #, and pages are counted per host and shape of path
 before anything else, so that what follows works on counts. Level by level, a
-node's children become one wildcard if there are more than MAX_BRANCHES of them,
-and children whose labelled share of bad pages does not differ significantly from
-the node's are merged into the wildcard; the others stay branches of their own.
+node's children with MIN_LABELLED labelled pages whose share of bad pages differs
+significantly from the node's stay branches of their own, however many siblings
+there are; the others are merged into one wildcard.
 A template is blocked if its purity, the share of good labelled pages smoothed
 towards that of its host and of all pages, is below PURITY.
 
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from tidemark.session import materialize
 
 MAX_DEPTH = 4
+# Only the SQL of url_sql has this limit; they agree where no node has more children.
 MAX_BRANCHES = 24
 # A child with fewer labelled pages never stays a branch of its own.
 MIN_LABELLED = 8
@@ -97,7 +98,6 @@ def templates(shaped: DataFrame, labels: DataFrame) -> DataFrame:
             F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")
         )
         nodes = children.groupBy("host", "template").agg(
-            F.count(F.lit(1)).alias("branches"),
             F.sum("labelled").alias("all_labelled"),
             F.sum("bad").alias("all_bad"),
         )
@@ -105,8 +105,7 @@ def templates(shaped: DataFrame, labels: DataFrame) -> DataFrame:
         # Squared, so that a rate of 0 or 1 needs no division.
         excess = F.pow(F.col("bad") - F.col("labelled") * rate, F.lit(2.0))
         limit = SIGNIFICANT**2 * F.col("labelled") * rate * (1 - rate)
-        own = (F.col("branches") <= MAX_BRANCHES) & (F.col("labelled") >= MIN_LABELLED)
-        own &= excess > limit
+        own = (F.col("labelled") >= MIN_LABELLED) & (excess > limit)
         choice = children.join(nodes, ["host", "template"]).select(
             "host",
             "template",
