@@ -250,6 +250,35 @@ def test_bad_branch_among_many_siblings(spark):
     assert all((r.verdict == "block") == ("/spam/" in r.path) for r in rows)
 
 
+def test_bad_branches_below_four_levels_and_by_number(spark):
+    urls, known = [], []
+    for i in range(600):
+        deep = "spam" if i % 3 == 0 else "good"
+        urls.append((i, f"http://deep.net/a/b/c/d/e/{deep}/{i}.html"))
+        known.append((i, int(deep != "spam"), 0))
+    for i in range(1000, 1600):
+        urls.append((i, f"http://num.net/forum{i % 3}/{i}.html"))
+        known.append((i, int(i % 3 != 0), 0))
+    # Few labels a number, but all of one form are bad.
+    for i in range(2000, 2400):
+        part = f"v{i % 90}" if i % 2 else "news"
+        urls.append((i, f"http://form.net/{part}/{i}.html"))
+        known.append((i, int(part == "news"), 0))
+    urls += [(5000, "http://form.net/v777/x"), (5001, "http://deep.net/a/b/c/d/e/spam/x")]
+    urls += [(5002, "http://deep.net/" + "z/" * 300)]
+    rows = url_templates.judge(pages(spark, urls), labels(spark, known), []).collect()
+    assert len(rows) == len(urls)
+    by_id = {r.page_id: r for r in rows}
+    for r in rows:
+        if r.host == "deep.net" and r.page_id != 5002:
+            assert r.verdict == ("block" if "/spam/" in r.path else "allow")
+        if r.host == "num.net":
+            assert r.verdict == ("block" if "/forum0/" in r.path else "allow")
+    assert "/forum0/*" in {r.template for r in rows}
+    assert by_id[2001].template.startswith("/v#/") and by_id[5000].template == "/v#/*"
+    assert by_id[5000].verdict == "block" and by_id[5001].template.endswith("/spam/*")
+
+
 # Secrets
 
 

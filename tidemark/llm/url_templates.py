@@ -1,30 +1,33 @@
 """URL verdicts from rules and, where none fits, from a tree of path templates.
 
-Digits in path segments become #, and pages are counted per host and shape of path
-before anything else, so that what follows works on counts. Level by level, a
-node's children with MIN_LABELLED labelled pages whose share of bad pages differs
-significantly from the node's stay branches of their own, however many siblings
-there are; the others are merged into one wildcard.
+Level by level, a node's children with MIN_LABELLED labelled pages whose share of bad
+pages differs significantly from the node's stay branches of their own, however many
+siblings there are; the others are merged into one wildcard. Digits in segments become
+#, but a segment that differs from the others of its form stays as it is. A node closes
+if its labels are all alike or fewer than MIN_LABELLED, as no child can differ there;
+what is left of its paths is wildcards. Only labelled pages decide, by their counts.
 A template is blocked if its purity, the share of good labelled pages smoothed
 towards that of its host and of all pages, is below PURITY.
 
 Defined results: a null url, or one without ://, has an empty host and path. Rules
 are tried first, the longest that fits wins. A page's label is that of the document
 whose number ends its path; pages without one are judged by their template. Pages
-of hosts without labelled pages get the purity of all pages. Segments below
-MAX_DEPTH do not split templates. Every input row gives one row. Extra columns are
-ignored. Empty tables give empty results, or no blocks by the method.
+of hosts without labelled pages get the purity of all pages. Paths have as many levels
+as segments. Every input row gives one row. Extra columns are ignored. Empty tables give empty results, or no blocks by the method.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize
 
+# Only the SQL of url_sql has these limits; they agree where no path is deeper, no node
+# has more children and no numbered segment is a branch.
 MAX_DEPTH = 4
-# Only the SQL of url_sql has this limit; they agree where no node has more children.
 MAX_BRANCHES = 24
 # A child with fewer labelled pages never stays a branch of its own.
 MIN_LABELLED = 8
@@ -71,56 +74,126 @@ def page_labels(labels: DataFrame) -> DataFrame:
     )
 
 
-def templates(shaped: DataFrame, labels: DataFrame) -> DataFrame:
-    """Per host and shape: template, labelled, bad of the template.
+def _sums(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.groupBy(*keys).agg(F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad"))
+
+
+def _differs(whole: str) -> Column:
+    """Whether bad of labelled is significantly off the share that `whole` names."""
+    rate = F.col(f"{whole}_bad") / F.greatest(F.col(f"{whole}_labelled"), F.lit(1))
+    # Squared, so that a rate of 0 or 1 needs no division.
+    excess = F.pow(F.col("bad") - F.col("labelled") * rate, F.lit(2.0))
+    limit = SIGNIFICANT**2 * F.col("labelled") * rate * (1 - rate)
+    return (F.col("labelled") >= MIN_LABELLED) & (excess > limit)
+
+
+def _named(sums: DataFrame, whole: str) -> DataFrame:
+    return sums.withColumnsRenamed({c: f"{whole}_{c}" for c in ("labelled", "bad")})
 
-    `shaped` has host, shape (segments joined by /) and number of each page.
+
+def _branches(known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Children that stay branches: segments with their digits, and masked ones.
+
+    `known` has the labelled pages of open nodes: host, template, segment, masked,
+    labelled, bad. A numbered segment stays if it differs from those of its masked
+    form, or from the node where these, without it, are no branch.
     """
-    counts = shaped.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("pages"))
-    labelled = (
-        shaped.filter("number is not null")
-        .join(page_labels(labels), "number")
-        .groupBy("host", "shape")
-        .agg(F.count(F.lit(1)).alias("labelled"), F.sum("bad").alias("bad"))
+    node, group = ["host", "template"], ["host", "template", "masked"]
+    raw = materialize(_sums(known.filter("segment <> ''"), *group, "segment"), "branches")
+    nodes = _named(_sums(known, *node), "node")
+    groups = _sums(raw, *group)
+    numbered = materialize(
+        raw.filter((F.col("segment") != F.col("masked")) & (F.col("labelled") >= MIN_LABELLED))
+        .join(_named(groups, "group"), group)
+        .join(nodes, node)
+        .withColumns({"apart": _differs("group"), "off": _differs("node")})
+        .select(*group, "segment", "labelled", "bad", "apart", "off"),
+        "branches",
     )
-    zero = F.lit(0).cast("long")
-    tree = (
-        counts.join(labelled, ["host", "shape"], "left")
-        .withColumns({c: F.coalesce(c, zero) for c in ("labelled", "bad")})
-        .withColumn("template", F.lit(""))
+    taken = _named(_sums(numbered.filter("apart"), *group), "taken")
+    rest = groups.join(taken, group, "left").withColumns(
+        {c: F.col(c) - F.coalesce(f"taken_{c}", F.lit(0)) for c in ("labelled", "bad")}
     )
-    for depth in range(MAX_DEPTH):
-        tree = materialize(
-            tree.withColumn("segment", F.coalesce(F.get(F.split("shape", "/"), F.lit(depth)), F.lit(""))),
-            "templates",
+    masked = materialize(
+        rest.filter(F.col("labelled") >= MIN_LABELLED)
+        .join(nodes, node)
+        .filter(_differs("node"))
+        .select(*group, F.lit(True).alias("as_group")),
+        "branches",
+    )
+    own = (
+        numbered.join(masked, group, "left")
+        .filter(F.col("apart") | (F.col("off") & F.col("as_group").isNull()))
+        .select(*node, "segment", F.lit(True).alias("as_own"))
+    )
+    return materialize(own, "branches"), masked
+
+
+def templates(shaped: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pages with template, labelled and purity of the template.
+
+    `shaped` has host, path and number of each page and any other columns.
+    """
+    pages = shaped.columns
+    # Pages without a number are dealt out by their path and meet no label.
+    key = F.coalesce("number", -1 - F.pmod(F.xxhash64("path"), F.lit(1 << 30)))
+    segments = F.filter(F.split("path", "/"), lambda s: s != "")
+    known = page_labels(labels).filter("number >= 0").withColumnRenamed("number", "key")
+    tree = materialize(
+        shaped.withColumn("key", key)
+        .join(known, "key", "left")
+        .select(
+            *pages,
+            segments.alias("segments"),
+            F.when(F.col("bad").isNull(), 0).otherwise(1).cast("long").alias("labelled"),
+            F.coalesce("bad", F.lit(0)).cast("long").alias("bad"),
+            F.lit("").alias("template"),
+        ),
+        "templates",
+    )
+    node = ["host", "template"]
+    closed, depth = [], 0
+    while True:
+        # No child can differ in a node with few labels or with labels all alike.
+        mixed = (
+            _sums(tree.filter("labelled > 0"), *node)
+            .filter((F.col("labelled") >= MIN_LABELLED) & (F.col("bad") > 0))
+            .filter("bad < labelled")
+            .select(*node, F.lit(True).alias("mixed"))
         )
-        children = tree.groupBy("host", "template", "segment").agg(
-            F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")
+        tree = tree.join(materialize(mixed, "templates"), node, "left")
+        left = F.greatest(F.size("segments") - depth, F.lit(0))
+        going = F.col("mixed").isNotNull() & (left > 0)
+        closed.append(
+            tree.filter(~going)
+            .withColumn("template", F.concat("template", F.repeat(F.lit("/*"), left)))
+            .drop("mixed", "segments")
         )
-        nodes = children.groupBy("host", "template").agg(
-            F.sum("labelled").alias("all_labelled"),
-            F.sum("bad").alias("all_bad"),
+        segment = F.coalesce(F.get("segments", F.lit(depth)), F.lit(""))
+        # Pages that end at the node count for its share, as do those that go on.
+        here = tree.filter("mixed").select(
+            *[c for c in tree.columns if c != "mixed"],
+            segment.alias("segment"),
+            F.regexp_replace(segment, "[0-9]+", "#").alias("masked"),
         )
-        rate = F.col("all_bad") / F.greatest(F.col("all_labelled"), F.lit(1))
-        # Squared, so that a rate of 0 or 1 needs no division.
-        excess = F.pow(F.col("bad") - F.col("labelled") * rate, F.lit(2.0))
-        limit = SIGNIFICANT**2 * F.col("labelled") * rate * (1 - rate)
-        own = (F.col("labelled") >= MIN_LABELLED) & (excess > limit)
-        choice = children.join(nodes, ["host", "template"]).select(
-            "host",
-            "template",
-            "segment",
-            F.when(F.col("segment") == "", F.lit(""))
-            .when(own, F.concat(F.lit("/"), "segment"))
+        if here.filter("segment <> ''").isEmpty():
+            break
+        own, masked = _branches(here.filter("labelled > 0"))
+        branch = (
+            F.when(F.col("as_own"), F.concat(F.lit("/"), "segment"))
+            .when(F.col("as_group"), F.concat(F.lit("/"), "masked"))
             .otherwise(F.lit("/*"))
-            .alias("branch"),
         )
-        tree = (
-            tree.join(choice, ["host", "template", "segment"])
-            .withColumn("template", F.concat("template", "branch"))
-            .drop("segment", "branch")
+        tree = materialize(
+            here.filter("segment <> ''")
+            .join(own, [*node, "segment"], "left")
+            .join(masked, [*node, "masked"], "left")
+            .withColumn("template", F.concat("template", branch))
+            .select(*pages, "segments", "labelled", "bad", "template"),
+            "templates",
         )
-    tree = materialize(tree, "templates")
+        depth += 1
+    tree = materialize(functools.reduce(DataFrame.unionByName, closed), "templates")
     leaves = tree.groupBy("host", "template").agg(
         F.sum("labelled").alias("labelled"), F.sum("bad").alias("bad")
     )
@@ -134,25 +207,16 @@ def templates(shaped: DataFrame, labels: DataFrame) -> DataFrame:
     purity = leaves.join(hosts, "host").select(
         "host", "template", "labelled", (1 - bad_rate).alias("purity")
     )
-    return tree.select("host", "shape", "template").join(purity, ["host", "template"])
+    return tree.select(*pages, "template").join(purity, ["host", "template"])
 
 
 def judge(pages: DataFrame, labels: DataFrame, rules: list[Rule]) -> DataFrame:
     """Per page: page_id, host, path, rule, verdict, template, purity."""
-    segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    shapes = F.transform(
-        F.slice(segments, 1, MAX_DEPTH), lambda s: F.regexp_replace(s, "[0-9]+", "#")
-    )
     number = F.regexp_extract("path", r"([0-9]{1,18})[^0-9/]*/?\z", 1)
-    shaped = host_and_path(pages).withColumns(
-        {
-            "shape": F.array_join(shapes, "/"),
-            "number": F.when(number != "", number.cast("long")),
-        }
-    )
-    judged = materialize(templates(shaped, labels), "judged")
+    shaped = host_and_path(pages).withColumn("number", F.when(number != "", number.cast("long")))
+    judged = templates(shaped, labels)
     by_method = F.when(F.col("purity") < PURITY, "block").otherwise("allow")
-    return shaped.join(judged, ["host", "shape"]).select(
+    return judged.select(
         "page_id",
         "host",
         "path",
