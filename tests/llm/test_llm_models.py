@@ -313,3 +313,45 @@ def test_secrets_learn_from_given_findings(spark):
     taught = found.withColumn("label", (F.char_length("candidate") > 26).cast("int"))
     rows = secret_forest.scan(docs, taught).collect()
     assert np.mean([r.is_secret == (r.length > 26) for r in rows]) > 0.9
+
+
+def test_secrets_of_other_forms(spark):
+    random.seed(5)
+    hexes = ["".join(random.choice("0123456789abcdef") for _ in range(40)) for _ in range(60)]
+    texts = [(i, f'words token = "{h}" then 1234567890123456 and /usr/lib1/x/y/z.py') for i, h in enumerate(hexes)]
+    forms = [
+        ('x password = "Tr0ub4dor&3" y', "Tr0ub4dor&3"),
+        ("MY_API_KEY=9f8a7b6c5d4e3f2a1b0c", "9f8a7b6c5d4e3f2a1b0c"),
+        ('{"secret": "a b\\"c9 d"}', 'a b\\"c9 d'),
+        ('token = "abcdEFGHijklMNOPqrstUVWX"', "abcdEFGHijklMNOPqrstUVWX"),
+        ("see abcdEFGHijklMNOPqrstUVWX here", "abcdEFGHijklMNOPqrstUVWX"),
+        ("-----BEGIN RSA PRIVATE KEY-----\nMIIE", "-----BEGIN RSA PRIVATE KEY-----"),
+        ("/a?access_key=q1w2e3r4&b=2", "q1w2e3r4"),
+        ("user_name=ab12cd34ef56", "ab12cd34ef56"),
+        ("Authorization: Bearer zz9yy8xx7ww6vv5", "zz9yy8xx7ww6vv5"),
+        ("pwd=ä1", "ä1"),
+    ]
+    texts += [(1000 + i, t) for i, (t, _) in enumerate(forms)]
+    rows = secret_forest.scan(documents(spark, texts)).collect()
+    by_id = dict(texts)
+    assert all(by_id[r.doc_id][r.start : r.start + r.length] == r.finding for r in rows)
+    found = {(r.doc_id, r.finding): r.is_secret for r in rows}
+    for i, (_, value) in enumerate(forms):
+        assert (1000 + i, value) in found
+    for i in (1, 3, 5):
+        assert found[1000 + i, forms[i][1]]
+
+
+def test_unquoted_assignments_are_labelled_and_learnt(spark):
+    random.seed(6)
+    value = lambda n: "".join(random.choice("abcdefghjkmnpqrstuvwxyzABCDEFGH23456789") for _ in range(n))
+    texts = [(i, f"API_KEY={value(10 + i % 20)}7\nthen 1234567890123456 {'=' * 20}") for i in range(100)]
+    rows = secret_forest.scan(documents(spark, texts)).collect()
+    assert {r.doc_id for r in rows if r.is_secret} == set(range(100))
+    assert not any(r.is_secret for r in rows if r.finding[0] in "=1" and r.length >= 16 and r.start > 20)
+
+
+def test_candidates_of_long_runs(spark):
+    texts = [(1, "token" * 40_000), (2, "a=" * 60_000), (3, "x" * 200_000), (4, "token='" + "y" * 90_000)]
+    found = secret_forest.candidates(documents(spark, texts)).collect()
+    assert {r.doc_id for r in found} == {1, 2, 3, 4}

@@ -1,14 +1,16 @@
 """Secrets in texts: candidates by pattern, false positives removed by a random forest.
 
 Everything runs on DataFrame functions. One pass finds the candidates of all whole
-texts with the words around them; a second counts in how many documents each word
+texts with the words around them: values of any length that are assigned to a
+credential's name, headers of private keys, and runs of 16 or more characters. A second counts in how many documents each word
 occurs, and the DICTIONARY_WORDS commonest are the dictionary. A candidate's features
 are its length, its character transitions and variety, how much of it the dictionary
 covers, its shape as a path, and its neighbouring words. A random forest learns from
 labelled findings and scores every candidate.
 
 `labelled_by_format` labels the findings whose format leaves no doubt: quoted values
-assigned to a credential's name are secrets; plain numbers, paths, hosts, placeholders
+assigned to a credential's name, and unquoted or short ones of letters and digits, are
+secrets, and so are headers of private keys (which always score 1); plain numbers, paths, hosts, placeholders
 and runs of words are not. Findings in between are judged by what the forest has
 learnt. Another source of labelled findings can be passed instead.
 
@@ -28,9 +30,6 @@ from pyspark.sql import functions as F
 
 from tidemark.session import materialize
 
-# Runs of such characters, of at least 16, with a digit.
-_RUN = "[A-Za-z0-9+/_=.-]"
-CANDIDATE = f"(?<!{_RUN})(?={_RUN}*[0-9]){_RUN}{{16,}}"
 _MARK = "\x01"
 BEFORE, AFTER = 48, 24
 DICTIONARY_WORDS = 2_000
@@ -44,19 +43,49 @@ CREDENTIAL_WORDS = "token|secret|password|passwd|pwd|api_?key|apikey|access_?key
 HARMLESS_WORDS = "example|sample|dummy|placeholder|test|checksum|commit|uuid|sha|isbn|version|call|card"
 
 
+# Candidates: headers of private keys, values assigned to a credential's name, and runs
+# of at least 16 such characters. What is before a value is its name, up to =.
+_RUN = "[A-Za-z0-9+/_=.-]"
+_PART = "[A-Za-z0-9+/_.-]"
+PEM = "-----BEGIN (?:[A-Z0-9]++ ){0,4}PRIVATE KEY(?: BLOCK)?-----"
+_CREDENTIAL = (
+    f"(?<![A-Za-z0-9_.-])(?>[A-Za-z0-9_.-]*?(?i:{CREDENTIAL_WORDS})(?!(?i:ors?)\\b))"
+    "[A-Za-z0-9_.-]*+[\"'`]?+\\s{0,4}(?::=|=>|[:=])\\s{0,4}(?i:(?:bearer|basic)\\s{1,4})?+[\"'`]?+"
+)
+_VALUE = "|".join(
+    [f"(?<={q})[^\\n]+?(?<!\\\\)(?={q})" for q in "\"'`"]
+    + ["[^\\s\"'`,;]+?(?=[\\s\"'`,;]|&\\w+=|\\z)"]
+)
+# A name of 16 or more characters that holds a digit may itself be what is looked for.
+_NAMES = (
+    "(?:(?:[A-Za-z_][A-Za-z_.-]*+|"
+    f"(?!{_PART}{{16}})[A-Za-z_][A-Za-z0-9_.-]*+)=++(?={_PART})){{0,4}}+"
+)
+# Groups 1, 3 and 6 go before the candidate, which is group 2, 4, 5 or 7.
+CANDIDATE = (
+    f"({_CREDENTIAL})({_VALUE})"
+    f"|(?<!{_RUN})(?={_RUN}{{16}})(?={_RUN}*[0-9])({_NAMES})({_RUN}+)"
+    f"|({PEM})"
+    f"|(?<!{_RUN})({_NAMES})({_RUN}{{16,}})"
+)
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """Stored candidates: row, doc_id, start, candidate, before, after."""
     text = F.translate(F.col("text").cast("string"), _MARK, " ")
-    marked = F.regexp_replace(text, f"({CANDIDATE})", f"{_MARK}$1{_MARK}")
+    marked = F.regexp_replace(text, CANDIDATE, f"$1$3$6{_MARK}$2$4$5$7{_MARK}")
     parts = F.split("marked", _MARK)
 
     def one(k: Column) -> Column:
         gap, own, rest = F.get("parts", 2 * k), F.get("parts", 2 * k + 1), F.get("parts", 2 * k + 2)
+        # A name before = can be a candidate of its own.
+        near = [F.coalesce(F.get("parts", 2 * k - j), F.lit("")) for j in (2, 1)] + [gap]
+        before = F.concat(*[F.right(p, F.lit(BEFORE)) for p in near])
         return F.struct(
             k.alias("nth"),
             F.char_length(gap).alias("gap"),
             own.alias("candidate"),
-            F.right(gap, F.lit(BEFORE)).alias("before"),
+            F.right(before, F.lit(BEFORE)).alias("before"),
             F.left(rest, F.lit(AFTER)).alias("after"),
         )
 
@@ -129,7 +158,7 @@ def features(found: DataFrame, words: list[str]) -> tuple[DataFrame, list[str]]:
         "f_after_path": before.rlike("(://|[/@~])$").cast("int"),
         "f_credential": before.rlike(f"({CREDENTIAL_WORDS})[^\\n]{{0,12}}$").cast("int"),
         "f_harmless": before.rlike(f"\\b({HARMLESS_WORDS})\\b[^\\n]{{0,12}}$").cast("int"),
-        "f_assigned": before.rlike("[=:]\\s*[\"'`]?$").cast("int"),
+        "f_assigned": before.rlike("[=:]>?\\s*(bearer |basic )?[\"'`]?$").cast("int"),
         "f_quoted": (before.rlike("[\"'`]$") & after.rlike("^[\"'`]")).cast("int"),
         "f_words_before": F.size(F.filter(F.split(before, "[^a-z]+"), lambda w: w != "")),
         "f_words_after": F.size(F.filter(F.split(after, "[^a-z]+"), lambda w: w != "")),
@@ -139,8 +168,11 @@ def features(found: DataFrame, words: list[str]) -> tuple[DataFrame, list[str]]:
 
 def labelled_by_format(described: DataFrame) -> DataFrame:
     """Findings with a label (1 secret, 0 none) where the format leaves no doubt."""
-    secret = (F.col("f_credential") == 1) & (F.col("f_assigned") == 1) & (F.col("f_quoted") == 1)
-    secret &= (F.col("f_length") >= 20) & (F.col("f_harmless") == 0) & (F.col("f_variety") >= 8)
+    secret = (F.col("f_credential") == 1) & (F.col("f_assigned") == 1) & (F.col("f_harmless") == 0)
+    quoted = (F.col("f_quoted") == 1) & (F.col("f_length") >= 20) & (F.col("f_variety") >= 8)
+    mixed = F.col("candidate").rlike(r"^(?=.*[A-Za-z])(?=.*[0-9])[^\s(){}\[\]$<>]+$")
+    secret &= quoted | (mixed & (F.col("f_length") >= 8) & (F.col("f_variety") >= 6))
+    secret |= F.col("candidate").rlike(PEM)
     harmless = (F.col("f_digits") == 1) | (F.col("f_after_path") == 1) | (F.col("f_variety") <= 4)
     harmless |= (F.col("f_dictionary") >= 0.6) | (F.col("f_harmless") == 1)
     harmless |= F.col("candidate").rlike(r"\.[a-z]{2,6}$|^[0-9.:-]+$")
@@ -174,6 +206,8 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
         score = F.get(vector_to_array("probability"), F.lit(1))
     else:
         score = F.lit(SECRET_AT)
+    # The header of a private key is one, however few the forest has seen.
+    score = F.when(F.col("candidate").rlike(f"^{PEM}$"), F.lit(1.0)).otherwise(score)
     return described.withColumn("score", score).select(
         "doc_id",
         F.col("start").cast("long").alias("start"),
