@@ -355,3 +355,22 @@ def test_candidates_of_long_runs(spark):
     texts = [(1, "token" * 40_000), (2, "a=" * 60_000), (3, "x" * 200_000), (4, "token='" + "y" * 90_000)]
     found = secret_forest.candidates(documents(spark, texts)).collect()
     assert {r.doc_id for r in found} == {1, 2, 3, 4}
+
+
+def test_copies_do_not_fill_the_sample_of_findings(spark, monkeypatch):
+    monkeypatch.setattr(secret_forest, "SAMPLE_ROWS", 40)
+    random.seed(8)
+    # Of 60 forms, each 50 times; the label is whether the value has capital letters.
+    forms = ["".join(random.choice("abcdef0123" if i % 2 else "ABCDEF0123") for _ in range(24)) for i in range(60)]
+    docs = documents(spark, [(i, f"code {forms[i % 60]} end") for i in range(3000)])
+    seen = []
+    found = secret_forest.candidates(docs)
+    taught = found.withColumn("label", F.col("candidate").rlike("[A-F]").cast("int"))
+    keep = secret_forest.materialize
+    monkeypatch.setattr(
+        secret_forest, "materialize", lambda df, label: seen.append((label, keep(df, label))) or seen[-1][1]
+    )
+    rows = secret_forest.scan(docs, taught).collect()
+    sample = next(df for label, df in seen if label == "sample")
+    assert sample.select("candidate").distinct().count() == sample.count() == 60
+    assert all(r.is_secret == any(c in "ABCDEF" for c in r.finding) for r in rows)

@@ -193,7 +193,9 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
         known = features(labelled, words)[0].filter("label is not null")
     sample = None
     for value in (0, 1):
-        part = known.filter(F.col("label") == value).select("label", "candidate", "before", *names)
+        # Copies count once, so that the sample is as many different findings.
+        part = known.filter(F.col("label") == value).groupBy("label", "candidate", "before")
+        part = part.agg(F.min(F.struct(*names)).alias("f")).select("label", "candidate", "before", "f.*")
         part = part.orderBy(F.xxhash64("candidate", "before"), "candidate", "before").limit(SAMPLE_ROWS)
         sample = part if sample is None else sample.unionByName(part)
     sample = materialize(sample.withColumn("label", F.col("label").cast("double")), "sample")
