@@ -21,9 +21,12 @@ END_ID = 0
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, fitted on labelled ones among them, does not reject."""
+    """Documents that the classifier, fitted on labelled ones among them, does not reject.
+
+    Rejected is what scores below 0.5; without labels of both kinds nothing is.
+    """
     on_workers(spark)
-    return quality_mil.keep(docs, quality_mil.fit(docs, table(spark, sf_dir, "labels")))
+    return quality_mil.keep_unrejected(docs, quality_mil.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

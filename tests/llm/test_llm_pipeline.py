@@ -5,9 +5,11 @@ from collections import defaultdict
 
 import corpus_pipeline
 import numpy as np
-from edge_rows import documents
+from edge_rows import documents, labels
 from test_llm_joins import expected_hits, expected_links
 
+from tidemark.llm import quality_mil
+
 SF = "/root/testdata/sf0.001"
 
 
@@ -52,6 +54,23 @@ def test_stages(spark):
     assert packed.select("doc_id").distinct().count() == docs.count()
 
 
+def test_quality_rejects_only_the_likelier_bad(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    quality = corpus_pipeline.STAGES[0][1]
+    for rows in ([], [(i, 0, 0) for i in range(50)], [(i, 1, 0) for i in range(50)]):
+        monkeypatch.setattr(corpus_pipeline, "table", lambda *_, rows=rows: labels(spark, rows))
+        assert quality(spark, docs, SF).count() == docs.count()
+    model = quality_mil.train(
+        np.random.default_rng(1).random((8, quality_mil.FEATURES)), np.ones(8, dtype=int), np.array([0.0, 1] * 4), 0.5
+    )
+    model.output[:] = 0
+    kept = {}
+    for share in (0.45, 0.6, 0.8):
+        model.bias = float(np.log(share / (1 - share)))
+        kept[share] = quality_mil.keep_unrejected(docs, model).count()
+    assert kept == {0.45: 0, 0.6: docs.count(), 0.8: docs.count()}
+
+
 def test_run_and_awkward_rows(spark):
     assert corpus_pipeline.run(spark, SF).count() > 0
     docs = documents(spark)

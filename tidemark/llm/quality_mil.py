@@ -12,7 +12,8 @@ driver and is a few thousand numbers; scoring is one pass without a shuffle.
 Defined results: null and empty texts are one empty passage and get a score like any
 other. The share of label 1 among all labelled rows corrects the balanced sample.
 Without labelled rows of both kinds every score is that share (0.5 without any).
-Rows keep their order of columns; extra columns travel along untouched in `keep`.
+Rows keep their order of columns; extra columns travel along untouched in `keep` and
+`keep_unrejected`, which drops nothing without a fitted model.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ PASSAGE_BYTES = 512
 SAMPLE_ROWS = 3_000
 FOLDS, HELD_OUT = 4, 2
 PREDICT_AT = 0.7
+# Below it a document is likelier bad than good.
+REJECT_BELOW = 0.5
 CODE = 16
 ATTENTION = 8
 EPOCHS = 120
@@ -269,15 +272,24 @@ def score(docs: DataFrame, model: Model | float) -> DataFrame:
     ).mapInArrow(scored, "doc_id long, held_out boolean, score double, predicted int")
 
 
-def keep(docs: DataFrame, model: Model | float, text_col: str = "text") -> DataFrame:
-    """The documents that the model does not reject, with all their columns."""
-    at = docs.columns.index(text_col)
+def keep(
+    docs: DataFrame, model: Model | float, text_col: str = "text", at: float = PREDICT_AT
+) -> DataFrame:
+    """The documents that score `at` or more, with all their columns."""
+    column = docs.columns.index(text_col)
 
     def filtered(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            scores = score_texts(model, column_bytes(batch.column(at)))
-            yield batch.filter(pa.array(scores >= PREDICT_AT))
+            scores = score_texts(model, column_bytes(batch.column(column)))
+            yield batch.filter(pa.array(scores >= at))
 
     return docs.mapInArrow(filtered, docs.schema)
+
+
+def keep_unrejected(docs: DataFrame, model: Model | float, text_col: str = "text") -> DataFrame:
+    """All documents but those that a fitted model holds likelier bad than good."""
+    if not isinstance(model, Model):
+        return docs
+    return keep(docs, model, text_col, REJECT_BELOW)
