@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     chat_windows,
+    labelled,
     quality_mil,
     queries,
     secret_forest,
@@ -65,6 +66,24 @@ def test_classifiers_take_empty_tables(spark):
     assert toxicity.score(docs, known).collect() == []
 
 
+def test_samples_count_rows_and_bytes(spark, monkeypatch):
+    texts = [(1, f"copy {i}") for i in range(300)] + [(i, "x" * 1000) for i in range(2, 41)]
+    known = labels(spark, [(i, i % 2, i % 2) for i in range(1, 41)])
+    sample, _ = labelled.sample(documents(spark, texts), known, "quality", 3000, 1, 1)
+    rows = sample.collect()
+    assert sorted(r.doc_id for r in rows) == list(range(1, 41))
+    first = min((f"copy {i}" for i in range(300)), key=lambda t: hashlib.sha256(t.encode()).hexdigest())
+    assert [r.text for r in rows if r.doc_id == 1] == [first]
+    monkeypatch.setattr(labelled, "SAMPLE_BYTES", 10_500)
+    sample, share = labelled.sample(documents(spark, texts), known, "quality", 3000, 1, 1)
+    rows = sample.collect()
+    assert sum(len(r.text) for r in rows) <= 10_500 and share == 0.5
+    assert [sum(r.label == v and r.doc_id > 1 for r in rows) for v in (0, 1)] == [5, 5]
+    monkeypatch.setattr(labelled, "SAMPLE_BYTES", 10)
+    sample, _ = labelled.sample(documents(spark, texts), known, "quality", 3000, 1, 1)
+    assert sorted(r.label for r in sample.collect()) == [0, 1]
+
+
 def test_attention_weights_sum_to_one_and_slopes_are_right():
     random_ = np.random.default_rng(0)
     counts = np.array([1, 3, 2])

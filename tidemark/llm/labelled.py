@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import text_or_empty
+from tidemark.session import materialize
+
+# Bytes of text that a sample holds at most, half of them for each label.
+SAMPLE_BYTES = 64 << 20
 
 
 def fold(doc_id: str | Column, folds: int) -> Column:
@@ -19,8 +23,10 @@ def sample(
     """Labelled texts outside the held-out fold, and the share of label 1 among them all.
 
     Takes at most `rows` labelled ids, half of each label where there are as many,
-    chosen by hash. Ids with a null label, or with both labels, teach nothing.
-    Columns: doc_id, label, text.
+    chosen by hash, and of these, in the same order, those whose texts fit into
+    SAMPLE_BYTES (the shortest of a label if none does). An id that repeats counts
+    with one row, that of the smallest digest. Ids with a null label, or with both
+    labels, teach nothing. Columns: doc_id, label, text.
     """
     known = (
         labels.select(F.col("doc_id").cast("long"), F.col(label).alias("label"))
@@ -41,5 +47,33 @@ def sample(
         chosen = part if chosen is None else chosen.unionByName(part)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty("text").alias("text"))
     # At most `rows` ids of 8 bytes are sent to the executors.
-    found = texts.join(F.broadcast(chosen), "doc_id")
+    # Combined before the shuffle, so that rows of one id do not travel.
+    once = materialize(
+        texts.join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "label")
+        .agg(F.min_by("text", F.sha2("text", 256)).alias("text")),
+        "labelled",
+    )
+    sizes = once.select("doc_id", "label", F.octet_length("text").alias("size")).orderBy(
+        F.xxhash64("doc_id"), "doc_id"
+    )
+    fitting = [i for ids in _fitting(sizes.collect()).values() for i in ids]
+    found = once.join(
+        F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in fitting], "doc_id long")), "doc_id"
+    )
     return found, (ones / (ones + zeros) if ones + zeros else 0.5)
+
+
+def _fitting(rows: list[Row]) -> dict[int, list[int]]:
+    """Ids per label whose texts fit into its half of SAMPLE_BYTES, in the order given."""
+    out: dict[int, list[int]] = {}
+    for value in {r["label"] for r in rows}:
+        own, left = [r for r in rows if r["label"] == value], SAMPLE_BYTES // 2
+        out[value] = []
+        for r in own:
+            if r["size"] <= left:
+                out[value].append(r["doc_id"])
+                left -= r["size"]
+        if not out[value]:
+            out[value] = [min(own, key=lambda r: r["size"])["doc_id"]]
+    return out

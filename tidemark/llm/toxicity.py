@@ -311,10 +311,11 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFr
         label_model.fit(columns[0], columns[1], columns[2].astype(np.float64))
 
     taught = (
-        read.join(F.broadcast(sample.select("doc_id", "label").distinct()), "doc_id")
+        read_votes(sample, mined)
+        .join(F.broadcast(sample.select("doc_id", "label")), "doc_id")
         .select("doc_id", "votes", "words", "label")
         .collect()
-    )  # at most `rows` ids
+    )  # at most `rows` rows
     linear = None
     if len({t["label"] for t in taught}) == 2:
         taught.sort(key=lambda t: (t["doc_id"], t["votes"], t["words"]))
