@@ -393,3 +393,11 @@ def test_copies_do_not_fill_the_sample_of_findings(spark, monkeypatch):
     sample = next(df for label, df in seen if label == "sample")
     assert sample.select("candidate").distinct().count() == sample.count() == 60
     assert all(r.is_secret == any(c in "ABCDEF" for c in r.finding) for r in rows)
+
+
+def test_variety_counts_the_whole_candidate(spark):
+    value = "-" * 70 + "9f8a7b6c5d4e3f2a1b0c"
+    found = secret_forest.candidates(documents(spark, [(1, f'token = "{value}" end')]))
+    described, _ = secret_forest.features(found, [])
+    assert [r.f_variety for r in described.collect()] == [len(set(value))]
+    assert [r.label for r in secret_forest.labelled_by_format(described).collect()] == [1]

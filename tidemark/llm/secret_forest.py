@@ -147,7 +147,7 @@ def features(found: DataFrame, words: list[str]) -> tuple[DataFrame, list[str]]:
         "f_longest_run": F.array_max(
             F.transform(F.split(kinds, "(?<=(.))(?!\\1)"), lambda s: F.char_length(s))
         ),
-        "f_variety": F.size(F.array_distinct(F.split(F.substring(candidate, 1, 64), ""))),
+        "f_variety": F.size(F.array_distinct(F.split(candidate, ""))),
         "f_digits": share("0-9"),
         "f_upper": share("A-Z"),
         "f_hex": share("0-9a-f"),
