@@ -14,9 +14,11 @@ from tidemark.llm import (
     decontaminate,
     exact_dedup,
     jaccard_join,
+    mix_sql,
     packing,
     quality_mil,
     secret_forest,
+    source_mix,
     token_orc,
     toxicity,
     url_sql,
@@ -187,3 +189,10 @@ def op6_secret_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings in all documents, scored by the forest; texts of findings as digests."""
     found = secret_forest.scan(table(spark, sf_dir, "documents"))
     return found.withColumn("finding_sha256", F.sha2("finding", 256)).drop("finding")
+
+
+@query(mix_sql.sql(source_mix.WEIGHTS, source_mix.MOST, source_mix.SEED))
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to target weights: how many words of each the mix takes."""
+    mixed = source_mix.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return mixed.select("document.doc_id", "size", "source_size", "target", "taken", "source")
