@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -16,6 +17,7 @@ from tidemark.llm import (
     jaccard_join,
     mix_sql,
     packing,
+    periodic_runs,
     quality_mil,
     secret_forest,
     source_mix,
@@ -196,3 +198,33 @@ def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to target weights: how many words of each the mix takes."""
     mixed = source_mix.mix(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return mixed.select("document.doc_id", "size", "source_size", "target", "taken", "source")
+
+
+def with_repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents, chosen by their ids, end in repetitions of some words."""
+    chosen = 1 if doc_id is None else zlib.crc32(b"%d" % doc_id)
+    if chosen % 10 or not words:
+        return words
+    seed, n = chosen // 10, len(words)
+    first = seed % n
+    period = 1 + (n - first) // (3 + seed % 8)
+    unit = words[first : first + period]
+    return words[:first] + (unit * (1 + (n - first) // period))[: n - first]
+
+
+@query()
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of all documents, a tenth of which got a repeated tail; digests of the rest."""
+    found = periodic_runs.find(table(spark, sf_dir, "documents"), with_repeated_tail)
+    line = lambda run: F.concat_ws(",", run["start"], run["length"], run["period"])
+    lines = F.transform("runs", lambda run: F.concat(line(run), F.lit("\n")))
+    return found.withColumn("top", periodic_runs.highest("runs")).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "top.start",
+        "top.length",
+        "top.period",
+        F.expr("1000 * top.length div top.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
