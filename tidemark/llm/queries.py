@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import zlib
+from collections import Counter
 from collections.abc import Callable
 
 import public_tokenizers
@@ -21,6 +22,8 @@ from tidemark.llm import (
     quality_mil,
     secret_forest,
     source_mix,
+    spelling,
+    spelling_sql,
     token_orc,
     toxicity,
     url_sql,
@@ -228,3 +231,23 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+SLIP = 97
+
+
+def with_slips(doc_id: int | None, counts: Counter) -> Counter:
+    """Some words of a document, chosen by a hash of both, lose a letter."""
+    prefix = zlib.crc32(b":" if doc_id is None else b"%d:" % doc_id)
+    chosen = [(run, h) for run in counts if not (h := zlib.crc32(run, prefix)) % SLIP]
+    changed = [(run.decode(), h, counts.pop(run)) for run, h in chosen]
+    for run, h, n in changed:
+        at = h % len(run)
+        counts[(run[:at] + run[at + 1 :]).encode()] += n
+    return counts
+
+
+@query(spelling_sql.sql(SLIP, spelling.LEAST_LETTERS, spelling.LEAST_COUNT, spelling.RATIO))
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, forms and roots."""
+    return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), with_slips))
