@@ -17,7 +17,7 @@ WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 # Entries that the caches inside a Python worker may hold: ids of text chunks, and
 # hashes of words (which then start anew).
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 300_000
 HASH_ENTRIES = 150_000
 
 # Odd multipliers of the word positions in a shingle: a fixed rule, so that

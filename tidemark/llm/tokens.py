@@ -4,16 +4,16 @@ A vocabulary splits a text into pieces before it merges bytes, and no piece
 crosses certain places; the text between two such places ("chunk") is encoded
 by the `tokenizers` library once per worker and kept as bytes of little-endian
 32-bit ids, so that a text's ids are the chunks' ids joined. The results are
-those of encoding the text at once. A chunk that is one run of Latin letters needs no
-splitting and goes straight to the library's merges.
+those of encoding the text at once. Runs of Latin letters need no splitting and go
+straight to the library's merges; what follows them in a chunk is looked up by itself.
 """
 
 from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+import sys
+from array import array
 
 from tidemark.llm.common import CACHE_ENTRIES
 
@@ -25,8 +25,9 @@ _SAFE_SPACE = re.compile(rb" (?=[!-~])")
 # past a line break between two printable characters.
 _INNER = re.compile(rb"(?<=[A-Za-z])(?=[\t-\r!-@\[-`{-~])|(?<=[!-~]\n)(?=[!-~])")
 
-# One run of ASCII and Latin-1 letters: a single piece in these vocabularies.
-_LETTERS = re.compile(rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+# A run of ASCII and Latin-1 letters: a single piece in these vocabularies, which also
+# ends before an ASCII character that is no letter.
+_LETTERS = re.compile(rb"[A-Za-z]*(?:\xc3[\x80-\x96\x98-\xb6\xb8-\xbf][A-Za-z]*)*")
 
 
 def _byte_symbols() -> dict[int, int]:
@@ -51,57 +52,80 @@ def load(vocabulary: str):
 
 
 class _Chunks(dict):
-    """Ids of chunks behind a fixed prefix, for the first CACHE_ENTRIES met."""
+    """Ids of chunks behind a fixed prefix.
+
+    The first CACHE_ENTRIES chunks met are kept. Chunks of several pieces, which cost
+    little once their first piece is known, may take half of these places.
+    """
 
     def __init__(
         self,
         tokenizer,
         prefix: bytes = b"",
         tails: _Chunks | None = None,
-        checked: bool = False,
         lower: bool = False,
     ):
         super().__init__()
         self.tokenizer, self.merges = tokenizer, tokenizer.model.tokenize
-        self.prefix, self.checked, self.lower = prefix, checked, lower
+        self.prefix, self.lower = prefix, lower
+        self.symbols = prefix.decode().translate(_SYMBOLS)
         self.tails = self if tails is None else tails
 
     def __missing__(self, chunk: bytes) -> bytes:
-        if self.checked and not chunk[:1].strip():
-            raise ValueError("white space next to the space")
-        parts = _INNER.split(chunk)
-        if len(parts) == 1:
-            if _LETTERS.fullmatch(chunk):
-                letters = chunk.decode().lower().encode() if self.lower else chunk
-                symbols = (self.prefix + letters).decode("latin-1").translate(_SYMBOLS)
-                ids = [token.id for token in self.merges(symbols)]
-            else:
-                text = (self.prefix + chunk).decode("utf-8", "replace")
-                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            value = np.array(ids, dtype="<u4").tobytes()
+        places = CACHE_ENTRIES
+        if chunk.isalpha():  # ASCII letters, which are symbols as they are
+            letters = chunk.decode()
+            value = self._merged(self.symbols + (letters.lower() if self.lower else letters))
         else:
-            tails = map(self.tails.__getitem__, parts[1:])
-            value = self[parts[0]] + b"".join(tails)
-        if len(self) < CACHE_ENTRIES and len(chunk) <= 64:
+            end = _LETTERS.match(chunk).end()
+            if end == len(chunk) > 0:
+                letters = chunk.decode()
+                data = (letters.lower() if self.lower else letters).encode()
+                value = self._merged((self.prefix + data).decode("latin-1").translate(_SYMBOLS))
+            elif end and chunk[end] < 0x80:
+                places //= 2
+                value = self[chunk[:end]] + self.tails[chunk[end:]]
+            else:
+                places //= 2
+                value = self._split(chunk)
+        if len(self) < places and len(chunk) <= 64:
             self[chunk] = value
         return value
 
+    def _merged(self, symbols: str) -> bytes:
+        return _packed([token.id for token in self.merges(symbols)])
+
+    def _split(self, chunk: bytes) -> bytes:
+        if self.prefix and not chunk[:1].strip():
+            raise ValueError("white space next to the space")
+        parts = _INNER.split(chunk)
+        if len(parts) > 1:
+            return self[parts[0]] + b"".join(map(self.tails.__getitem__, parts[1:]))
+        text = (self.prefix + chunk).decode("utf-8", "replace")
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def _packed(ids: list[int]) -> bytes:
+    values = array("I", ids)
+    if sys.byteorder == "big":
+        values.byteswap()
+    return values.tobytes()
+
 
 class SpacePrefixed:
     """Byte-level vocabularies in which a space belongs to the word after it."""
 
     def __init__(self, tokenizer):
         self.head = _Chunks(tokenizer)
-        self.plain = _Chunks(tokenizer, b" ", self.head, checked=True)
-        self.mixed = _Chunks(tokenizer, b" ", self.head)
+        self.spaced = _Chunks(tokenizer, b" ", self.head)
 
     def encode(self, text: bytes) -> bytes:
         chunks = text.split(b" ")
         try:
-            rest = b"".join(map(self.plain.__getitem__, chunks[1:]))
+            rest = b"".join(map(self.spaced.__getitem__, chunks[1:]))
         except ValueError:  # runs of white space: split at safe places only
             chunks = _SAFE_SPACE.split(text)
-            rest = b"".join(map(self.mixed.__getitem__, chunks[1:]))
+            rest = b"".join(map(self.spaced.__getitem__, chunks[1:]))
         return self.head[chunks[0]] + rest
 
 
