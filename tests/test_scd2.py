@@ -106,7 +106,7 @@ def test_closed_rows_are_not_rewritten(spark, tmp_path):
     path = str(tmp_path / "t")
     for run, name in ((1, "a"), (2, "b")):
         scd2_table(spark, path, source(spark, ("A", name, "s")), "ticker", CHECKS, stamp(run))
-    closed = {p for p in tmp_path.glob("t/_closed_in=2*/*.parquet")}
+    closed = {p for p in tmp_path.glob("t/data/*/_period=closed-*/*.parquet")}
     scd2_table(spark, path, source(spark, ("A", "c", "s")), "ticker", CHECKS, stamp(3))
     assert len(closed) == 1
-    assert closed < {p for p in tmp_path.glob("t/_closed_in=2*/*.parquet")}
+    assert closed < {p for p in tmp_path.glob("t/data/*/_period=closed-*/*.parquet")}

@@ -25,6 +25,7 @@ from tidemark.operators.upsert import (
 )
 from tidemark.schemas import PRICES_KEY, PRICES_SCHEMA, SERIES_KEY, SERIES_SCHEMA
 from tidemark.session import scratch_path
+from tidemark.sources import versions
 from tidemark.sources.tables import (
     newest_date,
     read_since,
@@ -62,11 +63,14 @@ def test_upsert_twice_is_upsert_once(spark):
 def test_upsert_writes_only_periods_of_the_batch(spark, tmp_path):
     path = str(tmp_path / "t")
     load(spark, path, [observation("cdi_rate", dt.date(2024, m, 1), 1.0) for m in (1, 2, 3)])
-    before = {p: p.stat().st_mtime_ns for p in tmp_path.glob("t/*/*.parquet")}
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.glob("t/data/*/*/*.parquet")}
+    parts = versions.newest(spark, path).parts
     load(spark, path, [observation("cdi_rate", dt.date(2024, 2, 5), 1.0, LATER)])
-    after = {p: p.stat().st_mtime_ns for p in tmp_path.glob("t/*/*.parquet")}
-    changed = {p.parent.name for p in before.keys() ^ after.keys()}
-    assert changed == {"_period=m2024-02"}
+    after = {p: p.stat().st_mtime_ns for p in tmp_path.glob("t/data/*/*/*.parquet")}
+    assert before.items() <= after.items()
+    assert {p.parent.name for p in after.keys() - before.keys()} == {"_period=m2024-02"}
+    now = versions.newest(spark, path).parts
+    assert {name for name in now if now[name] != parts[name]} == {"m2024-02"}
     assert len(stored(spark, path)) == 4
 
 
@@ -212,7 +216,7 @@ def test_new_and_gone_columns(spark):
     refresh_table(spark, path, stock(spark, ("A", 0, 1), ("A", 40, 2)), keys, "trade_date")
     batch = stock(spark, ("A", 40, 0), ("A", 41, 0)).selectExpr("ticker", "trade_date", "'x' as w")
     refresh_table(spark, path, batch, keys, "trade_date")
-    table = read_table(spark, path, evolving=True)
+    table = read_table(spark, path)
     assert table.columns == ["ticker", "trade_date", "v", "w"]
     rows = {r.trade_date: (r.v, r.w) for r in table.collect()}
     assert rows == {day(0): (1, None), day(40): (None, "x"), day(41): (None, "x")}
@@ -229,7 +233,8 @@ def test_sorted_write(spark):
     path = scratch_path(spark, "t")
     rows = stock(spark, *[("A", (7 * n) % 50, n) for n in range(50)])
     write_sorted(rows, path, ["trade_date"])
-    files = spark.read.parquet(path).selectExpr("trade_date", "_metadata.file_name as f").collect()
+    stored = spark.read.parquet(f"{path}/data")
+    files = stored.selectExpr("trade_date", "_metadata.file_name as f").collect()
     by_file: dict[str, list] = {}
     for r in files:
         by_file.setdefault(r.f, []).append(r.trade_date)
@@ -282,7 +287,7 @@ def test_newest_date_reads_one_folder(spark, tmp_path):
     path = str(tmp_path / "t")
     load(spark, path, [observation("cdi_rate", dt.date(2024, m, 3), 1.0) for m in (1, 2, 3)])
     # Earlier periods are not opened: what cannot be read there does no harm.
-    for part in tmp_path.glob("t/_period=m2024-01/*.parquet"):
+    for part in tmp_path.glob("t/data/*/_period=m2024-01/*.parquet"):
         part.write_bytes(b"no parquet")
         part.with_name(f".{part.name}.crc").unlink(missing_ok=True)
     assert newest_date(spark, path, "date") == dt.date(2024, 3, 3)
@@ -292,9 +297,11 @@ def test_quarantine_keeps_each_batch_once(spark):
     path = scratch_path(spark, "q")
     assert read_quarantine(spark, path).collect() == []
     rejects = spark.createDataFrame([("n/d", 11, "f")], "data string, series_code int, _file string")
-    for batch in ("1", "2", "2"):
-        store_rejects(rejects, path, "series", "bad date", LOADED, batch)
+    twice = rejects.unionByName(rejects).withColumn("_file", F.lit("g"))
+    for batch in (rejects, twice, twice, rejects):
+        store_rejects(batch, path, "series", "bad date", LOADED)
     rows = read_quarantine(spark, path).collect()
-    assert [(r.source, r.reason, r.payload, r.run_ts) for r in rows] == [
-        ("series", "bad date", '{"data":"n/d","series_code":11}', LOADED)
-    ] * 2
+    assert sorted((r.source, r.reason, r.payload, r.run_ts, r.file) for r in rows) == [
+        ("series", "bad date", '{"data":"n/d","series_code":11}', LOADED, file)
+        for file in ("f", "g", "g")
+    ]

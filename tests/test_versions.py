@@ -1,0 +1,277 @@
+"""Versions of stored tables: what a failed write leaves, conflicts, columns."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+from rows import day, observation, series
+
+from tidemark.operators.incremental import refresh_table
+from tidemark.operators.scd2 import read_history, scd2_table
+from tidemark.operators.upsert import upsert_table
+from tidemark.schemas import SERIES_KEY, SERIES_SCHEMA
+from tidemark.session import scratch_path
+from tidemark.sources import versions
+from tidemark.sources.tables import (
+    NoTable,
+    read_periods,
+    read_table,
+    replace_periods,
+    table_exists,
+    write_sorted,
+    write_table,
+)
+
+ROW = "k string, d date, v int"
+
+
+def rows(spark, *values):
+    return spark.createDataFrame([(k, day(n), v) for k, n, v in values], ROW)
+
+
+def stored(spark, path, **options):
+    found = read_table(spark, path, **options).collect()
+    return sorted((r.k, r.d, r.v) for r in found)
+
+
+def expected(*values):
+    return sorted((k, day(n), v) for k, n, v in values)
+
+
+def broken(df):
+    """The same rows, but writing them fails."""
+    failure = F.raise_error(F.lit("a lost disk")).cast("int")
+    return df.withColumn("v", F.when(F.rand() < 2, failure).otherwise(F.col("v")))
+
+
+class Killed(Exception):
+    pass
+
+
+def kill(monkeypatch, step):
+    def die(*args, **kwargs):
+        raise Killed(step)
+
+    monkeypatch.setattr(versions, step, die)
+
+
+# Failing writes
+
+
+@pytest.mark.parametrize("step", ["stage", "commit", "_published", "rows"])
+def test_a_failed_write_leaves_the_last_version(spark, monkeypatch, step):
+    path = scratch_path(spark, "t")
+    first = rows(spark, ("A", 0, 1), ("B", 40, 2))
+    write_table(first, path, "d")
+    new = rows(spark, ("A", 0, 9), ("C", 80, 9))
+    writes = [
+        lambda r: write_table(r, path, "d"),
+        lambda r: write_sorted(r, path, ["d"]),
+        lambda r: replace_periods(r, path, "d"),
+        lambda r: refresh_table(spark, path, r, ["k", "d"], "d"),
+        lambda r: refresh_table(spark, path, r, ["k", "d"], "d", full_refresh=True),
+    ]
+    for write in writes:
+        with monkeypatch.context() as patch:
+            if step != "rows":
+                kill(patch, step)
+            with pytest.raises(Exception, match="a lost disk" if step == "rows" else step):
+                write(broken(new) if step == "rows" else new)
+        assert stored(spark, path) == expected(("A", 0, 1), ("B", 40, 2))
+    # The table goes on as if nothing had been tried.
+    replace_periods(rows(spark, ("C", 80, 9)), path, "d")
+    assert stored(spark, path) == expected(("A", 0, 1), ("B", 40, 2), ("C", 80, 9))
+    assert versions.version_numbers(spark, path) == [1, 2]
+
+
+@pytest.mark.parametrize("step", ["stage", "commit", "_published"])
+def test_a_failed_upsert_can_be_repeated(spark, monkeypatch, step):
+    path = scratch_path(spark, "t")
+
+    def load(value, *days):
+        batch = series(spark, [observation("cdi_rate", day(n), value) for n in days])
+        upsert_table(spark, path, batch, SERIES_SCHEMA, SERIES_KEY)
+
+    def values():
+        found = read_table(spark, path, SERIES_SCHEMA).collect()
+        return sorted((r.date, r.value) for r in found)
+
+    with monkeypatch.context() as patch:
+        kill(patch, step)
+        with pytest.raises(Killed):
+            load(1.0, 0, 1)
+    assert not table_exists(spark, path)
+    load(1.0, 0, 1)
+    with monkeypatch.context() as patch:
+        kill(patch, step)
+        with pytest.raises(Killed):
+            load(2.0, 1, 50)
+    assert values() == [(day(0), 1.0), (day(1), 1.0)]
+    load(2.0, 1, 50)
+    assert values() == [(day(0), 1.0), (day(1), 2.0), (day(50), 2.0)]
+
+
+@pytest.mark.parametrize("step", ["stage", "commit", "_published", "source"])
+def test_a_failed_run_keeps_the_history(spark, monkeypatch, step):
+    path = scratch_path(spark, "t")
+    schema = "k string, v int"
+
+    def run(n, frame):
+        scd2_table(spark, path, frame, "k", ["v"], dt.datetime(2024, 1, n))
+
+    def history():
+        found = read_history(spark, path).collect()
+        closed = [(r.k, r.v, r.dbt_valid_to and r.dbt_valid_to.day) for r in found]
+        return sorted(closed, key=str)
+
+    run(1, spark.createDataFrame([("A", 1), ("B", 1), ("C", 1)], schema))
+    before = history()
+    second = spark.createDataFrame([("A", 1), ("B", 2), ("D", 1)], schema)
+    failing = second.withColumn(
+        "v", F.when(F.rand() < 2, F.raise_error(F.lit("source")).cast("int")).otherwise(0)
+    )
+    with monkeypatch.context() as patch:
+        if step != "source":
+            kill(patch, step)
+        with pytest.raises(Exception, match=step):
+            run(2, failing if step == "source" else second)
+    assert history() == before
+    run(2, second)
+    run(2, second)
+    assert history() == sorted(
+        [("A", 1, None), ("B", 1, 2), ("B", 2, None), ("C", 1, 2), ("D", 1, None)], key=str
+    )
+
+
+def test_what_a_dead_driver_left_is_not_read(spark):
+    path = scratch_path(spark, "t")
+    version = write_table(rows(spark, ("A", 0, 1)), path, "d")
+    again = rows(spark, ("A", 0, 7)).withColumn(versions.PART, F.lit("m2024-01"))
+    versions.stage(again, path, version.schema, by_part=True)
+    assert stored(spark, path) == expected(("A", 0, 1))
+
+
+# Several writers
+
+
+def test_writers_of_different_parts_both_count(spark):
+    path = scratch_path(spark, "t")
+    base = write_table(rows(spark, ("A", 0, 1), ("B", 40, 2)), path, "d")
+    replace_periods(rows(spark, ("A", 0, 5)), path, "d", base=base)
+    replace_periods(rows(spark, ("B", 40, 6)), path, "d", base=base)
+    assert stored(spark, path) == expected(("A", 0, 5), ("B", 40, 6))
+    assert versions.newest(spark, path).number == 3
+
+
+def test_the_second_writer_of_a_part_fails(spark):
+    path = scratch_path(spark, "t")
+    base = write_table(rows(spark, ("A", 0, 1), ("B", 40, 2)), path, "d")
+    replace_periods(rows(spark, ("A", 0, 5)), path, "d", base=base)
+    with pytest.raises(versions.ConflictingCommit, match="m2024-01"):
+        replace_periods(rows(spark, ("A", 1, 6)), path, "d", base=base)
+    with pytest.raises(versions.ConflictingCommit):
+        write_table(rows(spark, ("A", 1, 6)), path, "d", create=True)
+    assert stored(spark, path) == expected(("A", 0, 5), ("B", 40, 2))
+
+
+def test_readers_keep_their_version(spark):
+    path = scratch_path(spark, "t")
+    write_table(rows(spark, ("A", 0, 1)), path, "d")
+    before = read_table(spark, path)
+    write_table(rows(spark, ("B", 0, 2)), path, "d")
+    assert [r.k for r in before.collect()] == ["A"]
+    first = versions.read_version(spark, path, 1)
+    assert stored(spark, path, version=first) == expected(("A", 0, 1))
+    assert stored(spark, path) == expected(("B", 0, 2))
+
+
+def test_expired_versions_leave_what_others_use(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(rows(spark, ("A", 0, 1), ("B", 40, 2)), path, "d")
+    for value in (3, 4, 5):
+        replace_periods(rows(spark, ("A", 0, value)), path, "d")
+    gone = versions.expire(spark, path, keep=2)
+    assert versions.version_numbers(spark, path) == [3, 4]
+    assert len(gone) == 2 and all(p.endswith("m2024-01") for p in gone)
+    assert stored(spark, path) == expected(("A", 0, 5), ("B", 40, 2))
+    earlier = versions.read_version(spark, path, 3)
+    assert stored(spark, path, version=earlier) == expected(("A", 0, 4), ("B", 40, 2))
+    assert len(list(tmp_path.glob("t/data/*/*=m2024-01/*.parquet"))) == 2
+    assert versions.expire(spark, path, keep=2) == []
+
+
+def test_no_table(spark):
+    path = scratch_path(spark, "t")
+    assert not table_exists(spark, path)
+    with pytest.raises(NoTable):
+        read_table(spark, path)
+
+
+def test_only_the_wanted_parts_are_listed(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(rows(spark, ("A", 0, 1), ("B", 40, 2), ("C", 80, 3)), path, "d")
+    files = read_periods(spark, path, ["m2024-02"]).inputFiles()
+    assert len(files) == 1 and "m2024-02" in files[0]
+    odd = rows(spark, ("A", 0, 1)).withColumn("d", F.lit(None).cast("date"))
+    replace_periods(odd, path, "d")
+    assert read_table(spark, path).filter("d is null").count() == 1
+
+
+# Columns
+
+
+def test_columns_are_added_widened_renamed_and_dropped(spark):
+    path = scratch_path(spark, "t")
+    write_table(rows(spark, ("A", 0, 1), ("B", 40, 2)), path, "d")
+    wider = rows(spark, ("B", 40, 2)).selectExpr("k", "d", "v + 5000000000 as v", "'x' as w")
+    replace_periods(wider, path, "d")
+    table = read_table(spark, path)
+    assert dict(table.dtypes) == {"k": "string", "d": "date", "v": "bigint", "w": "string"}
+    found = {r.k: (r.v, r.w) for r in table.collect()}
+    assert found == {"A": (1, None), "B": (5_000_000_002, "x")}
+
+    versions.rename_column(spark, path, "v", "amount")
+    assert {r.k: r.amount for r in read_table(spark, path).collect()} == {
+        "A": 1,
+        "B": 5_000_000_002,
+    }
+    versions.drop_column(spark, path, "w")
+    replace_periods(
+        rows(spark, ("C", 80, 3)).selectExpr("k", "d", "v as amount", "v * 2 as w"), path, "d"
+    )
+    table = read_table(spark, path)
+    assert dict(table.dtypes) == {"k": "string", "d": "date", "amount": "bigint", "w": "int"}
+    found = {r.k: (r.amount, r.w) for r in table.collect()}
+    # What the dropped column held does not come back under its name.
+    assert found == {"A": (1, None), "B": (5_000_000_002, None), "C": (3, 6)}
+
+
+def test_a_narrower_or_other_type_is_refused_or_kept(spark):
+    path = scratch_path(spark, "t")
+    write_table(rows(spark, ("A", 0, 1)).withColumn("v", F.lit(1).cast("long")), path, "d")
+    replace_periods(rows(spark, ("B", 40, 2)), path, "d")
+    assert dict(read_table(spark, path).dtypes)["v"] == "bigint"
+    texts = rows(spark, ("C", 80, 3)).withColumn("v", F.lit("three"))
+    with pytest.raises(versions.ColumnsDiffer, match="v is stored as bigint"):
+        replace_periods(texts, path, "d")
+    assert stored(spark, path) == expected(("A", 0, 1), ("B", 40, 2))
+
+
+def test_a_whole_rewrite_may_change_types(spark):
+    path = scratch_path(spark, "t")
+    write_table(rows(spark, ("A", 0, 1)), path, "d")
+    write_table(rows(spark, ("A", 0, 1)).withColumn("v", F.lit("one")), path, "d")
+    assert [r.v for r in read_table(spark, path).collect()] == ["one"]
+    first = versions.read_version(spark, path, 1)
+    assert stored(spark, path, version=first) == expected(("A", 0, 1))
+
+
+def test_no_footer_is_read_for_the_columns(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(rows(spark, ("A", 0, 1), ("B", 40, 2)), path, "d")
+    for file in tmp_path.glob("t/data/*/*=m2024-01/*.parquet"):
+        file.write_bytes(b"no parquet")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    table = read_table(spark, path)
+    assert table.columns == ["k", "d", "v"]
+    assert [r.k for r in read_periods(spark, path, ["m2024-02"]).collect()] == ["B"]

@@ -9,14 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import materialize
+from tidemark.sources import versions
 from tidemark.sources.tables import (
     check_unit,
     newest_date,
     periods_in,
     read_periods,
     replace_periods,
-    stored_periods,
-    table_exists,
     write_table,
 )
 
@@ -77,12 +76,13 @@ def refresh_table(
 
     ``batch`` is already cut to its look-back; only its periods are rewritten.
     """
-    if full_refresh or not table_exists(spark, path) or not stored_periods(spark, path):
-        write_table(batch, path, date_col, unit)
+    base = versions.newest(spark, path)
+    if full_refresh or base is None or not base.parts:
+        write_table(batch, path, date_col, unit, create=base is None)
         return
-    check_unit(spark, path, unit)
+    check_unit(base, path, unit)
     rows = materialize(batch, "refresh-batch")
     periods = periods_in(rows, date_col, unit)
     if periods:
-        target = read_periods(spark, path, periods, evolving=True)
-        replace_periods(delete_insert(target, rows, keys), path, date_col, unit)
+        target = read_periods(spark, path, periods, version=base)
+        replace_periods(delete_insert(target, rows, keys), path, date_col, unit, base)

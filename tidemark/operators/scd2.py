@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.keys import run_stamp
-from tidemark.session import materialize
-from tidemark.sources.tables import table_exists
+from tidemark.sources import versions
+from tidemark.sources.tables import present
 
 SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = (
     "dbt_scd_id",
@@ -21,7 +21,7 @@ SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO = (
     "dbt_valid_to",
 )
 _HISTORY_COLUMNS = [SCD_ID, UPDATED_AT, VALID_FROM, VALID_TO]
-_CLOSED_IN, _OPEN = "_closed_in", "open"
+_OPEN = "open"
 
 
 def one_row_per_key(source: DataFrame, key: str) -> DataFrame:
@@ -76,36 +76,32 @@ def scd2_table(
 ) -> None:
     """One run on a stored history.
 
-    Closed rows lie in a folder per run, named to the microsecond; those of
-    earlier runs are not read again. A run that is repeated, with the same or a
-    corrected source, first undoes what it did: it opens the rows again that it
-    had closed and forgets those that it had opened. The folder of this run is
-    written before the open rows, so that a run cut short between the two is
-    put right by repeating it.
+    The open rows are one part of the table, those closed by a run another, named after
+    the run to the microsecond; parts of earlier runs are not read again. A run
+    publishes both of its parts in one step, so that one that fails leaves the history
+    as it was. A run that is repeated, with the same or a corrected source, first undoes
+    what it did: it opens the rows again that it had closed and forgets those that it
+    had opened.
     """
-    root = path.rstrip("/")
+    base = versions.newest(spark, path)
     name = spark.range(1).select(F.date_format(run_stamp(run_ts), "yyyyMMdd'T'HHmmss.SSSSSS"))
-    own = f"{root}/{_CLOSED_IN}={name.first()[0]}"
-    closed_before = table_exists(spark, own)
-    if table_exists(spark, root):
-        state = spark.read.parquet(f"{root}/{_CLOSED_IN}={_OPEN}")
-        columns = state.columns
-        if closed_before:
-            state = state.unionByName(spark.read.parquet(own).withColumn(VALID_TO, _never()))
-        state = state.filter(F.col(VALID_FROM) != run_stamp(run_ts)).dropDuplicates([SCD_ID])
-        rows = _merge_open(state.select(*columns), source, key, check_cols, run_ts)
-    else:
+    own = f"closed-{name.first()[0]}"
+    if base is None:
         rows = scd2_start(source, key, run_ts)
-    rows = materialize(rows, "history")
-    closed = rows.filter(F.col(VALID_TO).isNotNull())
-    if closed_before or not closed.isEmpty():
-        closed.write.mode("overwrite").parquet(own)
-    still_open = rows.filter(F.col(VALID_TO).isNull())
-    still_open.write.mode("overwrite").parquet(f"{root}/{_CLOSED_IN}={_OPEN}")
+    else:
+        state = versions.read_parts(spark, path, base, [_OPEN]).drop(versions.PART)
+        again = versions.read_parts(spark, path, base, [own]).drop(versions.PART)
+        state = state.unionByName(again.withColumn(VALID_TO, _never()))
+        state = state.filter(F.col(VALID_FROM) != run_stamp(run_ts)).dropDuplicates([SCD_ID])
+        rows = _merge_open(state, source, key, check_cols, run_ts)
+    schema = versions.next_schema(base, rows.schema)
+    part = F.when(F.col(VALID_TO).isNull(), F.lit(_OPEN)).otherwise(F.lit(own))
+    staged = versions.stage(rows.withColumn(versions.PART, part), path, schema, by_part=True)
+    versions.commit(spark, path, base, schema, {_OPEN: [], own: [], **staged})
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(_CLOSED_IN)
+    return versions.read_parts(spark, path, present(spark, path)).drop(versions.PART)
 
 
 def _never() -> Column:

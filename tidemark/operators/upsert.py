@@ -11,12 +11,12 @@ from pyspark.sql import types as T
 from tidemark.functions.keys import required
 from tidemark.operators.quality import unique_combination
 from tidemark.session import materialize
+from tidemark.sources import versions
 from tidemark.sources.tables import (
     check_unit,
     periods_in,
     read_periods,
     replace_periods,
-    table_exists,
     write_table,
 )
 
@@ -64,17 +64,18 @@ def upsert(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFram
     return kept.select(*target.columns).unionByName(batch, allowMissingColumns=True)
 
 
-def without_stale(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The batch without rows that were pulled before the target's row of that key."""
-    stored = target.filter(F.col(PULLED_AT).isNotNull()).select(
-        *keys, F.col(PULLED_AT).alias("_stored_pull")
-    )
-    stale = F.col("_stored_pull") > F.col(PULLED_AT)
-    return (
-        batch.join(stored, list(keys), "left")
-        .filter(~F.coalesce(stale, F.lit(False)))
-        .select(*batch.columns)
-    )
+def merged(target: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``upsert`` that keeps the target's row where it was pulled after the batch's.
+
+    One join serves both questions. Both sides have the same columns.
+    """
+    columns = target.columns
+    old = target.select(*keys, F.struct(*columns).alias("_old"))
+    new = batch.select(*keys, F.struct(*columns).alias("_new"))
+    stale = F.col(f"_old.{PULLED_AT}") > F.col(f"_new.{PULLED_AT}")
+    stays = F.col("_new").isNull() | F.coalesce(stale, F.lit(False))
+    winner = F.when(stays, F.col("_old")).otherwise(F.col("_new"))
+    return old.join(new, list(keys), "full_outer").select(winner.alias("_row")).select("_row.*")
 
 
 def upsert_table(
@@ -86,8 +87,8 @@ def upsert_table(
     date_col: str = "date",
     version: str = "ingested_at",
     unit: str = "month",
-) -> None:
-    """Upsert into a stored table, created on first use.
+) -> DataFrame:
+    """Upsert into a stored table, created on first use; returns the batch as loaded.
 
     Only periods that occur in the batch are read and rewritten. Loading a
     batch again leaves the table as it is. Of rows with the same key the one
@@ -99,6 +100,7 @@ def upsert_table(
     stored_schema = T.StructType(
         [*schema.fields, T.StructField(PULLED_AT, T.TimestampNTZType(), True)]
     )
+    base = versions.newest(spark, path)
     rows = materialize(conform(batch, stored_schema), "upsert-batch")
     repeated = unique_combination(*keys).failures(rows).select(*keys)
     if not repeated.isEmpty():
@@ -109,15 +111,15 @@ def upsert_table(
         rows = materialize(
             rows.join(repeated, list(keys), "left_anti").unionByName(settled), "upsert-newest"
         )
-    if not table_exists(spark, path):
-        write_table(rows, path, date_col, unit)
-        return
-    check_unit(spark, path, unit)
-    periods = periods_in(rows, date_col, unit)
-    if periods:
-        target = read_periods(spark, path, periods, stored_schema)
-        fresh = without_stale(target, rows, keys)
-        replace_periods(upsert(target, fresh, keys), path, date_col, unit)
+    if base is None:
+        write_table(rows, path, date_col, unit, create=True)
+    else:
+        check_unit(base, path, unit)
+        periods = periods_in(rows, date_col, unit)
+        if periods:
+            target = read_periods(spark, path, periods, stored_schema, base)
+            replace_periods(merged(target, rows, keys), path, date_col, unit, base)
+    return rows
 
 
 def load_report(table: DataFrame, batch: DataFrame, key: str) -> DataFrame:

@@ -59,11 +59,11 @@ class Warehouse:
 
     @property
     def calendar(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("seeds/dim_calendar"))
+        return read_table(self.spark, self.path("seeds/dim_calendar"))
 
     @property
     def macro_pivoted(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("intermediate/int_macro_pivoted"))
+        return read_table(self.spark, self.path("intermediate/int_macro_pivoted"))
 
     @property
     def market_returns(self) -> DataFrame:
@@ -71,11 +71,11 @@ class Warehouse:
 
     @property
     def macro_indicators(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("marts/mart_macro_indicators"))
+        return read_table(self.spark, self.path("marts/mart_macro_indicators"))
 
     @property
     def stock_performance(self) -> DataFrame:
-        return read_table(self.spark, self.path("marts/mart_stock_performance"), evolving=True)
+        return read_table(self.spark, self.path("marts/mart_stock_performance"))
 
     @property
     def ticker_history(self) -> DataFrame:
@@ -122,8 +122,8 @@ def load_raw(
         if table == "raw/bacen_series":
             batch = known_values(batch, "value")
         path = warehouse.path(table)
-        upsert_table(spark, path, batch, schema, keys, unit=warehouse.unit)
-        report = load_report(read_table(spark, path, schema), batch, keys[0])
+        loaded = upsert_table(spark, path, batch, schema, keys, unit=warehouse.unit)
+        report = load_report(read_table(spark, path, schema), loaded, keys[0])
         reports.append(report.withColumn("table_name", F.lit(table)))
     report = reports[0] if reports else spark.createDataFrame([], _REPORT)
     for other in reports[1:]:
@@ -136,8 +136,7 @@ def hold_back(
 ) -> None:
     """Store what a run's parsing held back in the quarantine table."""
     path = warehouse.path("raw/quarantine")
-    stamp = str(run_ts).replace(":", "").replace(" ", "T")
-    store_rejects(rejects, path, source, reason, run_ts, stamp)
+    store_rejects(rejects, path, source, reason, run_ts)
 
 
 def load_calendar(warehouse: Warehouse, csv_path: str) -> None:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -100,15 +101,17 @@ def parse_series(
     run_ts: dt.datetime | str,
     start: dt.date | None = None,
     end: dt.date | None = None,
-    held_back_by: Sequence[str] = ("series_code",),
+    held_back_by: Sequence[str] | None = None,
 ) -> Loaded:
-    """Known series between two dates; a series with a bad date is held back whole.
+    """Known series between two dates; a pull with a bad date is held back whole.
 
-    ``held_back_by`` may name the file as well, to hold back that pull alone.
+    A pull is a file of a series, in batch as in streams; of records without a file, all
+    of the series. ``held_back_by`` may name other columns.
     A value that is no number becomes NULL and stays (the upsert drops it).
     The code list is closed, so the table of codes is broadcast as it is.
     """
-    by = list(held_back_by)
+    pull = [c for c in ("series_code", "_file") if c in records.columns]
+    by = pull if held_back_by is None else list(held_back_by)
     codes = F.broadcast(series_dimension(records.sparkSession))
     parsed = records.join(codes, "series_code").select(
         *records.columns,
@@ -118,13 +121,17 @@ def parse_series(
         day_first_date(F.col("data")).alias("date"),
         comma_decimal(F.col("valor")).alias("value"),
     )
-    bad = parsed.filter(F.col("date").isNull()).select(*by).distinct()
-    rows = parsed.join(bad, by, "left_anti")
+    bad = parsed.filter(F.col("date").isNull()).select(*(F.col(c).alias(f"_bad_{c}") for c in by))
+    bad = bad.distinct()
+    same = reduce(
+        lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_bad_{c}")) for c in by)
+    )
+    rows = parsed.join(bad, same, "left_anti")
     if start is not None:
         rows = rows.filter(F.col("date") >= F.lit(start))
     if end is not None:
         rows = rows.filter(F.col("date") <= F.lit(end))
-    rejects = parsed.join(bad, by, "left_semi").select(*records.columns)
+    rejects = parsed.join(bad, same, "left_semi").select(*records.columns)
     return Loaded(
         rows.withColumn("ingested_at", run_stamp(run_ts)).select(
             *SERIES_SCHEMA.fieldNames(), *_pull_of(records)

@@ -1,39 +1,56 @@
-"""Stored tables: parquet folders, partitioned by a period of their date.
+"""Stored tables: versioned, their data in parts by a period of their date.
 
 Months suit tables of ordinary size. Days let a load of one day into a very
-large table rewrite that day alone.
+large table rewrite that day alone. A write publishes all that it changes in one
+step (see ``versions``).
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-PERIOD = "_period"
+from tidemark.sources import versions
+from tidemark.sources.versions import NULL_PART, Version
+
+PERIOD = versions.PART
 
 # The letter keeps partition values text, whatever the reader would infer.
 _PATTERNS = {"day": "'d'yyyy-MM-dd", "month": "'m'yyyy-MM", "year": "'y'yyyy"}
 
 
+class NoTable(Exception):
+    """There is no stored table at the path."""
+
+
 def period_of(date: str | Column, unit: str) -> Column:
     return F.date_format(date, _PATTERNS[unit])
 
 
+def present(spark: SparkSession, path: str) -> Version:
+    """The newest version of a table that must be there."""
+    version = versions.newest(spark, path)
+    if version is None:
+        raise NoTable(path)
+    return version
+
+
 def read_table(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, evolving: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    version: Version | None = None,
 ) -> DataFrame:
-    """A stored table without its partition column.
+    """A stored table, or the columns of a schema with NULL for those it lacks.
 
-    ``evolving`` is for tables that have gained columns: it merges the schemas
-    of all files, which the tables of fixed shape need not pay for.
+    ``version`` may be an earlier one; the newest is read without.
     """
-    return _read(spark, path, schema, evolving).drop(PERIOD)
+    version = version or present(spark, path)
+    return _shaped(versions.read_parts(spark, path, version), schema)
 
 
 def read_since(
@@ -42,7 +59,8 @@ def read_since(
     """Rows from a date on; older periods are pruned before the scan."""
     first = period_of(F.lit(start), unit)
     recent = (F.col(PERIOD) >= first) & (F.col(date_col) >= F.lit(start))
-    return _read(spark, path).filter(recent).drop(PERIOD)
+    rows = versions.read_parts(spark, path, present(spark, path))
+    return rows.filter(recent).drop(PERIOD)
 
 
 def read_periods(
@@ -50,75 +68,59 @@ def read_periods(
     path: str,
     periods: Sequence[str],
     schema: T.StructType | None = None,
-    evolving: bool = False,
+    version: Version | None = None,
 ) -> DataFrame:
-    """Only the named periods of a stored table."""
-    wanted = F.col(PERIOD).isin(list(periods))
-    return _read(spark, path, schema, evolving).filter(wanted).drop(PERIOD)
+    """Only the named periods of a stored table; no other folder is listed."""
+    version = version or present(spark, path)
+    return _shaped(versions.read_parts(spark, path, version, periods), schema)
 
 
 def newest_date(spark: SparkSession, path: str, date_col: str) -> dt.date | None:
-    """Latest date of a stored table, read from its latest period alone.
-
-    The period is taken from the folders' names, without opening a file.
-    """
-    periods = stored_periods(spark, path)
+    """Latest date of a stored table, read from its latest period alone."""
+    version = present(spark, path)
+    periods = _periods(version)
     if not periods:
         return None
-    latest = spark.read.parquet(f"{path.rstrip('/')}/{PERIOD}={periods[-1]}")
+    latest = versions.read_parts(spark, path, version, periods[-1:])
     return latest.agg(F.max(date_col)).head()[0]
 
 
 def stored_periods(spark: SparkSession, path: str) -> list[str]:
-    """The periods that a stored table has folders for, from its file listing."""
-    files = spark.read.schema(f"{PERIOD} string").parquet(path).inputFiles()
-    found = {m[1] for f in files if (m := re.search(rf"/{PERIOD}=([^/]+)/", f))}
-    return sorted(found - {"__HIVE_DEFAULT_PARTITION__"})
+    """The periods that a stored table has rows for, from its manifest."""
+    return _periods(present(spark, path))
 
 
-def check_unit(spark: SparkSession, path: str, unit: str) -> None:
+def check_unit(version: Version, path: str, unit: str) -> None:
     """Refuse a load by another period unit than the table's own.
 
-    Folders of two units would each hold rows of the same key.
+    Parts of two units would each hold rows of the same key.
     """
     letter = _PATTERNS[unit][1]
-    others = [p for p in stored_periods(spark, path) if not p.startswith(letter)]
+    others = [p for p in _periods(version) if not p.startswith(letter)]
     if others:
         raise ValueError(f"{path} is not stored by {unit}: it has the period {others[0]}")
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """True when the folder holds a readable table, empty or not.
-
-    Only a path that is not there counts as no table. A folder without files is
-    an empty one, so that what an interrupted commit staged in it is not overwritten.
-    """
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as failure:
-        if failure.getCondition() == "PATH_NOT_FOUND":
-            return False
-        if failure.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-    return True
-
-
-def _read(
-    spark: SparkSession, path: str, schema: T.StructType | None = None, evolving: bool = False
-) -> DataFrame:
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(T.StructType([*schema.fields, T.StructField(PERIOD, T.StringType())]))
-    elif evolving:
-        reader = reader.option("mergeSchema", True)
-    return reader.parquet(path)
+    """True when there is a table, empty or not."""
+    return versions.newest(spark, path) is not None
 
 
-def write_sorted(df: DataFrame, path: str, order_by: Sequence[str]) -> None:
+def write_sorted(
+    df: DataFrame, path: str, order_by: Sequence[str], notes: Mapping[str, str] | None = None
+) -> Version:
     """Replace a whole table, its files in the given order."""
-    df.repartitionByRange(*order_by).sortWithinPartitions(*order_by).write.mode(
-        "overwrite"
-    ).parquet(path)
+    ordered = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
+    return write_whole(ordered, path, notes)
+
+
+def write_whole(df: DataFrame, path: str, notes: Mapping[str, str] | None = None) -> Version:
+    """Replace a whole table by rows that are laid out already, with their columns."""
+    spark = df.sparkSession
+    base = versions.newest(spark, path)
+    schema = versions.replaced(base, df.schema)
+    parts = versions.stage(df, path, schema, by_part=False)
+    return versions.commit(spark, path, base, schema, parts, notes, whole=True)
 
 
 def write_table(
@@ -127,25 +129,43 @@ def write_table(
     date_col: str,
     unit: str = "month",
     order_by: Sequence[str] = (),
-) -> None:
-    """Replace a whole table, one folder per period."""
+    notes: Mapping[str, str] | None = None,
+    create: bool = False,
+) -> Version:
+    """Replace a whole table, one part per period; ``create`` demands that there is none."""
+    spark = df.sparkSession
+    base = None if create else versions.newest(spark, path)
+    schema = versions.replaced(base, df.schema)
     rows = _rebalanced(df.withColumn(PERIOD, period_of(date_col, unit)))
     if order_by:
         rows = rows.sortWithinPartitions(PERIOD, *order_by)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        PERIOD
-    ).parquet(path)
+    parts = versions.stage(rows, path, schema, by_part=True)
+    return versions.commit(spark, path, base, schema, parts, notes, whole=True)
 
 
-def replace_periods(df: DataFrame, path: str, date_col: str, unit: str = "month") -> None:
-    """Replace only the periods that occur in ``df``.
+def replace_periods(
+    df: DataFrame,
+    path: str,
+    date_col: str,
+    unit: str = "month",
+    base: Version | None = None,
+    order_by: Sequence[str] = (),
+    emptied: Sequence[str] = (),
+    notes: Mapping[str, str] | None = None,
+) -> Version:
+    """Replace the periods that occur in ``df`` and drop ``emptied`` ones without rows.
 
-    The new files are staged and moved in when the job commits, so ``df`` may
-    be derived from the same table.
+    ``base`` is the version that ``df`` was derived from, if it was.
     """
-    _rebalanced(df.withColumn(PERIOD, period_of(date_col, unit))).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(PERIOD).parquet(path)
+    spark = df.sparkSession
+    base = base or present(spark, path)
+    schema = versions.next_schema(base, df.schema)
+    rows = _rebalanced(df.withColumn(PERIOD, period_of(date_col, unit)))
+    if order_by:
+        rows = rows.sortWithinPartitions(PERIOD, *order_by)
+    parts = versions.stage(rows, path, schema, by_part=True)
+    dropped = {period: [] for period in emptied}
+    return versions.commit(spark, path, base, schema, {**dropped, **parts}, notes)
 
 
 def periods_in(df: DataFrame, date_col: str, unit: str = "month") -> list[str]:
@@ -153,6 +173,22 @@ def periods_in(df: DataFrame, date_col: str, unit: str = "month") -> list[str]:
     return sorted(r[0] for r in df.select(period_of(date_col, unit)).distinct().collect())
 
 
+def _periods(version: Version) -> list[str]:
+    return sorted(part for part in version.parts if part != NULL_PART)
+
+
+def _shaped(rows: DataFrame, schema: T.StructType | None) -> DataFrame:
+    if schema is None:
+        return rows.drop(PERIOD)
+    stored = set(rows.columns)
+    return rows.select(
+        *(
+            (F.col(f.name) if f.name in stored else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        )
+    )
+
+
 def _rebalanced(rows: DataFrame) -> DataFrame:
     """Small periods gathered into few files, a hot one split over several."""
     return rows.hint("rebalance", F.col(PERIOD))

@@ -49,7 +49,7 @@ def load_quote_files(
     def load(batch: DataFrame, number: int) -> None:
         loaded = parse_quotes(batch, run_ts, start)
         if quarantine is not None:
-            store_rejects(loaded.rejects, quarantine, "quotes", _BAD_QUOTES, run_ts, str(number))
+            store_rejects(loaded.rejects, quarantine, "quotes", _BAD_QUOTES, run_ts)
         upsert_table(spark, table_path, loaded.rows, PRICES_SCHEMA, PRICES_KEY, unit=unit)
 
     return _run_available(payloads, load, checkpoint)
@@ -75,9 +75,9 @@ def load_series_files(
     records = with_pull(files.json(landing))
 
     def load(batch: DataFrame, number: int) -> None:
-        loaded = parse_series(batch, run_ts, held_back_by=["series_code", "_file"])
+        loaded = parse_series(batch, run_ts)
         if quarantine is not None:
-            store_rejects(loaded.rejects, quarantine, "series", _BAD_SERIES, run_ts, str(number))
+            store_rejects(loaded.rejects, quarantine, "series", _BAD_SERIES, run_ts)
         rows = known_values(loaded.rows, "value")
         upsert_table(spark, table_path, rows, SERIES_SCHEMA, SERIES_KEY, unit=unit)
 

@@ -100,7 +100,8 @@ def payload_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     new_years_eve = (F.month("o_orderdate") == 12) & (F.dayofmonth("o_orderdate") == 31)
     bad = new_years_eve & (F.col("o_orderpriority") != "1-URGENT")
     landing = _series_landing(spark, sf_dir, bad)
-    loaded = pay.parse_series(pay.read_series_payloads(spark, landing), RUN_TS)
+    records = pay.read_series_payloads(spark, landing)
+    loaded = pay.parse_series(records, RUN_TS, held_back_by=["series_code"])
     return loaded.rejects.groupBy("series_code").agg(
         F.count(F.lit(1)).alias("held_back"), F.count_if(F.col("data") == "n/d").alias("bad_dates")
     )
@@ -225,7 +226,8 @@ def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     new_years_eve = (F.month("o_orderdate") == 12) & (F.dayofmonth("o_orderdate") == 31)
     bad = new_years_eve & (F.col("o_orderpriority") != "1-URGENT")
     landing = _series_landing(spark, sf_dir, bad)
-    loaded = pay.parse_series(pay.read_series_payloads(spark, landing), RUN_TS)
+    records = pay.read_series_payloads(spark, landing)
+    loaded = pay.parse_series(records, RUN_TS, held_back_by=["series_code"])
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))
     for _ in range(2):
         hold_back(warehouse, "series", loaded.rejects, "a date that is none", RUN_TS)
