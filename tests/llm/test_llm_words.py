@@ -13,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidemark.llm import periodic_runs, queries, source_mix, spelling
+from tidemark.llm import changes, periodic_runs, queries, source_mix, spelling
 from tidemark.llm.prefix_sums import sums_before
 
 
@@ -76,7 +76,7 @@ def test_words_are_counted_as_stated(spark):
 def test_words_lose_the_letter_that_their_hash_names():
     counts = Counter({f"word{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10]}é".encode(): 2 for i in range(100)})
     for doc_id in range(40):
-        changed = queries.with_slips(doc_id, Counter(counts))
+        changed = changes.with_slips(doc_id, Counter(counts))
         expected = Counter()
         for run, n in counts.items():
             h = zlib.crc32(f"{doc_id}:".encode() + run)

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import functools
-import zlib
-from collections import Counter
 from collections.abc import Callable
 
 import public_tokenizers
@@ -12,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (
+    changes,
     chat_windows,
     decontaminate,
     exact_dedup,
@@ -203,22 +202,10 @@ def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("document.doc_id", "size", "source_size", "target", "taken", "source")
 
 
-def with_repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
-    """A tenth of the documents, chosen by their ids, end in repetitions of some words."""
-    chosen = 1 if doc_id is None else zlib.crc32(b"%d" % doc_id)
-    if chosen % 10 or not words:
-        return words
-    seed, n = chosen // 10, len(words)
-    first = seed % n
-    period = 1 + (n - first) // (3 + seed % 8)
-    unit = words[first : first + period]
-    return words[:first] + (unit * (1 + (n - first) // period))[: n - first]
-
-
 @query()
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of all documents, a tenth of which got a repeated tail; digests of the rest."""
-    found = periodic_runs.find(table(spark, sf_dir, "documents"), with_repeated_tail)
+    found = periodic_runs.find(table(spark, sf_dir, "documents"), changes.with_repeated_tail)
     line = lambda run: F.concat_ws(",", run["start"], run["length"], run["period"])
     lines = F.transform("runs", lambda run: F.concat(line(run), F.lit("\n")))
     return found.withColumn("top", periodic_runs.highest("runs")).select(
@@ -233,21 +220,7 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-SLIP = 97
-
-
-def with_slips(doc_id: int | None, counts: Counter) -> Counter:
-    """Some words of a document, chosen by a hash of both, lose a letter."""
-    prefix = zlib.crc32(b":" if doc_id is None else b"%d:" % doc_id)
-    chosen = [(run, h) for run in counts if not (h := zlib.crc32(run, prefix)) % SLIP]
-    changed = [(run.decode(), h, counts.pop(run)) for run, h in chosen]
-    for run, h, n in changed:
-        at = h % len(run)
-        counts[(run[:at] + run[at + 1 :]).encode()] += n
-    return counts
-
-
-@query(spelling_sql.sql(SLIP, spelling.LEAST_LETTERS, spelling.LEAST_COUNT, spelling.RATIO))
+@query(spelling_sql.sql(changes.SLIP, spelling.LEAST_LETTERS, spelling.LEAST_COUNT, spelling.RATIO))
 def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with their near words, forms and roots."""
-    return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), with_slips))
+    return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), changes.with_slips))

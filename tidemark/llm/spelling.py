@@ -42,6 +42,8 @@ LEAST_LETTERS, LEAST_COUNT, RATIO = 5, 3, 2
 RUN = re.compile(rb"[a-z]+(?:\xc3[\x80-\xbf][a-z]*)*|(?:\xc3[\x80-\xbf][a-z]*)+")
 # Different words that a task counts before it hands them on.
 BLOCK_WORDS = 200_000
+# Words with their forms in one file of the tables that the roots are found in.
+WORDS_PER_FILE = 100_000
 
 Prepare = Callable[[int | None, Counter], Counter]
 
@@ -118,8 +120,8 @@ def _keys(word: Column, length: Column, moved: int) -> Column:
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
-    """Stored pairs of near words, each once: the shorter one or, of two as long as each
-    other, the first in code point order as `word`, the other as `near`, with their counts."""
+    """Pairs of near words, each once: the shorter one or, of two as long as each other,
+    the first in code point order as `word`, the other as `near`, with their counts."""
     length = F.length("word")
     chunks = words.select(
         F.col("word"), F.col("n"), F.explode(_keys(F.col("word"), length, 0)).alias("key")
@@ -136,15 +138,14 @@ def near_pairs(words: DataFrame) -> DataFrame:
     longer = F.length("near") > F.length("word")
     candidates = chunks.join(grams, "key").filter(longer | (F.col("word") < F.col("near")))
     close = candidates.filter(F.levenshtein("word", "near", 1) == 1)
-    return materialize(
-        close.groupBy("word", "near").agg(F.min("n").alias("n"), F.min("near_n").alias("near_n")),
-        "near-words",
+    return close.groupBy("word", "near").agg(
+        F.min("n").alias("n"), F.min("near_n").alias("near_n")
     )
 
 
-def roots(forms: DataFrame) -> DataFrame:
+def roots(forms: DataFrame, files: int) -> DataFrame:
     """Per word with a form the last of its forms, by doubling the steps taken."""
-    steps = materialize(forms.select("word", F.col("form").alias("root")), "steps")
+    steps = forms.select("word", F.col("form").alias("root"))
     while True:
         ahead = steps.select(F.col("word").alias("root"), F.col("root").alias("further"))
         moved = steps.join(ahead, "root", "left").select(
@@ -152,22 +153,24 @@ def roots(forms: DataFrame) -> DataFrame:
             F.coalesce("further", "root").alias("root"),
             F.col("further").isNotNull().alias("moved"),
         )
-        steps = materialize(moved, "steps")
+        steps = materialize(moved.coalesce(files), "steps")
         if steps.filter("moved").isEmpty():
             return steps.select("word", "root")
 
 
 def variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
     """Each word (columns `word`, `n`) with form, root, n, n_near and form_n."""
-    pairs = near_pairs(words)
-    both = pairs.unionByName(
-        pairs.select(
+    files = words.count() // WORDS_PER_FILE + 1
+    ways = F.array(
+        F.struct("word", "n", "near", "near_n"),
+        F.struct(
             F.col("near").alias("word"),
-            F.col("word").alias("near"),
             F.col("near_n").alias("n"),
+            F.col("word").alias("near"),
             F.col("n").alias("near_n"),
-        )
+        ),
     )
+    both = near_pairs(words).select(F.explode(ways).alias("_way")).select("_way.*")
     best = F.min(F.struct((-F.col("near_n")).alias("less"), F.col("near").alias("form")))
     nearest = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"), best.alias("best"))
     related = words.join(nearest, "word", "left")
@@ -179,10 +182,10 @@ def variants(words: DataFrame, ratio: int = RATIO) -> DataFrame:
             "n",
             F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
             F.when(takes, -F.col("best.less")).alias("form_n"),
-        ),
+        ).coalesce(files),
         "forms",
     )
-    ends = roots(related.filter("form is not null"))
+    ends = roots(related.filter("form is not null"), files)
     return related.join(ends, "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n"
     )
