@@ -3,31 +3,33 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators.check_state import incremental_checks
 from tidemark.operators.incremental import lookback_start_of_table, refresh_table
 from tidemark.operators.quarantine import read_quarantine, store_rejects
-from tidemark.operators.quality import Check, freshness, require, run_checks
+from tidemark.operators.quality import Check, freshness, require
 from tidemark.operators.scd2 import read_history, scd2_table
 from tidemark.operators.upsert import known_values, load_report, upsert_table
 from tidemark.plans import checks
 from tidemark.plans.macro import int_macro_pivoted, mart_macro_indicators
-from tidemark.plans.market import int_market_returns
 from tidemark.plans.marts import STOCK_KEY, mart_stock_performance
+from tidemark.plans.resumed_returns import refresh_returns
 from tidemark.plans.snapshot import CHECK_COLUMNS, SNAPSHOT_KEY, ticker_metadata
 from tidemark.plans.staging import stg_bacen_series, stg_market_prices, typed_prices
 from tidemark.schemas import PRICES_KEY, PRICES_SCHEMA, SERIES_KEY, SERIES_SCHEMA
 from tidemark.sources.calendar import read_calendar_csv
 from tidemark.sources.tables import (
+    PERIOD,
+    period_of,
     read_since,
     read_table,
     table_exists,
     write_sorted,
-    write_table,
 )
 
 
@@ -163,27 +165,38 @@ def build_models(
 
     A layer with failing checks raises and nothing after it is built.
     """
-    spark = warehouse.spark
-    series = stg_bacen_series(warehouse.series)
-    _check(warehouse.series, "bacen_series", checks.RAW_SERIES)
-    _check(warehouse.prices, "market_prices", checks.RAW_PRICES)
-    _check(series, "stg_bacen_series", checks.STG_SERIES)
-    # No check looks at the return, so its window is pruned and needs no row count.
-    staged = stg_market_prices(warehouse.prices, max_rows=None)
-    _check(staged, "stg_market_prices", checks.STG_PRICES)
+    spark, unit = warehouse.spark, warehouse.unit
+    _check(warehouse, "raw/bacen_series", checks.RAW_SERIES)
+    _check(warehouse, "raw/market_prices", checks.RAW_PRICES)
+
+    def staged_series(rows: DataFrame) -> DataFrame:
+        return stg_bacen_series(rows).withColumn(PERIOD, period_of("reference_date", unit))
 
+    def staged_prices(rows: DataFrame) -> DataFrame:
+        # No check looks at the return, which alone needs other periods.
+        staged = stg_market_prices(rows, max_rows=None)
+        return staged.withColumn(PERIOD, period_of("trade_date", unit))
+
+    _check(warehouse, "raw/bacen_series", checks.STG_SERIES, "stg_bacen_series", staged_series)
+    _check(
+        warehouse, "raw/market_prices", checks.STG_PRICES, "stg_market_prices",
+        staged_prices, "trade_date",
+    )
+
+    series = stg_bacen_series(warehouse.series)
     write_sorted(
         int_macro_pivoted(series), warehouse.path("intermediate/int_macro_pivoted"), ["macro_date"]
     )
-    write_table(
-        int_market_returns(warehouse.prices),
+    refresh_returns(
+        spark,
+        warehouse.path("raw/market_prices"),
         warehouse.path("intermediate/int_market_returns"),
-        "trade_date",
-        warehouse.unit,
-        order_by=STOCK_KEY,
+        warehouse.path("intermediate/returns_state"),
+        unit,
+        full_refresh,
     )
-    _check(warehouse.macro_pivoted, "int_macro_pivoted", checks.MACRO_PIVOTED)
-    _check(warehouse.market_returns, "int_market_returns", checks.MARKET_RETURNS)
+    _check(warehouse, "intermediate/int_macro_pivoted", checks.MACRO_PIVOTED)
+    _check(warehouse, "intermediate/int_market_returns", checks.MARKET_RETURNS)
 
     write_sorted(
         mart_macro_indicators(warehouse.macro_pivoted, run_ts),
@@ -191,8 +204,10 @@ def build_models(
         ["macro_date"],
     )
     _refresh_stock_mart(warehouse, run_ts, full_refresh)
-    _check(warehouse.macro_indicators, "mart_macro_indicators", checks.MACRO_INDICATORS)
-    _check(warehouse.stock_performance, "mart_stock_performance", checks.STOCK_PERFORMANCE)
+    _check(warehouse, "marts/mart_macro_indicators", checks.MACRO_INDICATORS)
+    _check(
+        warehouse, "marts/mart_stock_performance", checks.STOCK_PERFORMANCE, part_key="trade_date"
+    )
 
     scd2_table(
         spark,
@@ -227,5 +242,24 @@ def _refresh_stock_mart(
     )
 
 
-def _check(df: DataFrame, table: str, table_checks: Iterable[Check]) -> None:
-    require(run_checks(df, table, table_checks))
+def _check(
+    warehouse: Warehouse,
+    stored: str,
+    table_checks: Sequence[Check],
+    name: str | None = None,
+    model: Callable[[DataFrame], DataFrame] | None = None,
+    part_key: str | None = None,
+) -> None:
+    """Stop on failing checks of a stored table, of which changed parts alone are read."""
+    name = name or stored.split("/")[-1]
+    require(
+        incremental_checks(
+            warehouse.spark,
+            warehouse.path(stored),
+            warehouse.path(f"checks/{name}"),
+            name,
+            table_checks,
+            model,
+            part_key,
+        )
+    )

@@ -36,7 +36,8 @@ RETURN_COLUMNS = [
 ]
 
 
-def _valid_returns(quotes: RowGroups) -> DataFrame:
+def valid_returns(quotes: RowGroups) -> DataFrame:
+    """Quotes with a return."""
     log_return = F.col("log_return_daily")
     # Filling in changes no value here: it tells the planner that none is NULL
     # any more, which makes the sliding frames a third cheaper.
@@ -47,6 +48,30 @@ def _valid_returns(quotes: RowGroups) -> DataFrame:
     )
 
 
+def with_metrics(groups: RowGroups) -> DataFrame:
+    """Returns with the metrics over sliding frames and the running values of the groups."""
+    month, quarter = groups.trailing(MONTH_ROWS), groups.trailing(QUARTER_ROWS)
+    deviation = F.stddev_samp("log_return_daily")
+    metrics = groups.with_windows(
+        {
+            "volatility_21d_annualized": annualized(deviation.over(month)),
+            "volatility_63d_annualized": annualized(deviation.over(quarter)),
+            "avg_volume_21d": F.avg("volume").over(month),
+        }
+    )
+    return groups.finish(metrics)
+
+
+def return_columns(metrics: DataFrame) -> DataFrame:
+    """The model's columns, from the running sum of returns and the running peak."""
+    peak = F.col("running_peak")
+    return (
+        metrics.withColumn("cumulative_return_index", F.exp("total_return"))
+        .withColumn("drawdown_from_peak", drawdown(F.col("price_adj_close"), peak))
+        .select(*RETURN_COLUMNS)
+    )
+
+
 def int_market_returns(raw: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """Quotes with a return, and the metrics over the rows that have one.
 
@@ -55,7 +80,7 @@ def int_market_returns(raw: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """
     quotes = price_groups(raw, max_rows)
     groups = group_rows(
-        _valid_returns(quotes),
+        valid_returns(quotes),
         ["ticker"],
         "trade_date",
         lookback=QUARTER_ROWS - 1,
@@ -65,21 +90,6 @@ def int_market_returns(raw: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
         },
         # Returns are fewer than quotes: small tickers have stayed small.
         max_rows=max_rows if quotes.is_split else None,
-        counted=_valid_returns(quotes.of_large_keys()) if quotes.is_split else None,
-    )
-    month, quarter = groups.trailing(MONTH_ROWS), groups.trailing(QUARTER_ROWS)
-    deviation = F.stddev_samp("log_return_daily")
-    metrics = groups.with_windows(
-        {
-            "volatility_21d_annualized": annualized(deviation.over(month)),
-            "volatility_63d_annualized": annualized(deviation.over(quarter)),
-            "avg_volume_21d": F.avg("volume").over(month),
-        }
-    )
-    peak = F.col("running_peak")
-    return (
-        groups.finish(metrics)
-        .withColumn("cumulative_return_index", F.exp("total_return"))
-        .withColumn("drawdown_from_peak", drawdown(F.col("price_adj_close"), peak))
-        .select(*RETURN_COLUMNS)
+        counted=valid_returns(quotes.of_large_keys()) if quotes.is_split else None,
     )
+    return return_columns(with_metrics(groups))

@@ -78,7 +78,7 @@ def read_periods(
 def newest_date(spark: SparkSession, path: str, date_col: str) -> dt.date | None:
     """Latest date of a stored table, read from its latest period alone."""
     version = present(spark, path)
-    periods = _periods(version)
+    periods = periods_of(version)
     if not periods:
         return None
     latest = versions.read_parts(spark, path, version, periods[-1:])
@@ -87,7 +87,7 @@ def newest_date(spark: SparkSession, path: str, date_col: str) -> dt.date | None
 
 def stored_periods(spark: SparkSession, path: str) -> list[str]:
     """The periods that a stored table has rows for, from its manifest."""
-    return _periods(present(spark, path))
+    return periods_of(present(spark, path))
 
 
 def check_unit(version: Version, path: str, unit: str) -> None:
@@ -96,7 +96,7 @@ def check_unit(version: Version, path: str, unit: str) -> None:
     Parts of two units would each hold rows of the same key.
     """
     letter = _PATTERNS[unit][1]
-    others = [p for p in _periods(version) if not p.startswith(letter)]
+    others = [p for p in periods_of(version) if not p.startswith(letter)]
     if others:
         raise ValueError(f"{path} is not stored by {unit}: it has the period {others[0]}")
 
@@ -173,7 +173,8 @@ def periods_in(df: DataFrame, date_col: str, unit: str = "month") -> list[str]:
     return sorted(r[0] for r in df.select(period_of(date_col, unit)).distinct().collect())
 
 
-def _periods(version: Version) -> list[str]:
+def periods_of(version: Version) -> list[str]:
+    """The periods that a version has rows for; rows without a date are in none."""
     return sorted(part for part in version.parts if part != NULL_PART)
 
 
