@@ -6,6 +6,7 @@ from workload import (  # noqa: F401
     quality_queries,
     source_queries,
     table_queries,
+    versioned_queries,
 )
 from workload.registry import ORACLES, QUERIES
 

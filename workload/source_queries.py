@@ -30,7 +30,7 @@ _RENAMED = {"Brand#11": "PETR4", "Brand#22": "VALE3", "Brand#33": "MGLU3"}
 # Series payloads: every order is a record, filed under its priority
 
 
-_CODES = {
+CODES = {
     "1-URGENT": 11,
     "2-HIGH": 433,
     "3-MEDIUM": 1,
@@ -40,9 +40,9 @@ _CODES = {
 }
 
 
-def _series_landing(spark: SparkSession, sf_dir: str, bad_dates: Column) -> str:
+def series_landing(spark: SparkSession, sf_dir: str, bad_dates: Column) -> str:
     """Landed one-record payloads: day-first dates, decimal commas, some junk."""
-    code = F.coalesce(*(F.when(F.col("o_orderpriority") == p, c) for p, c in _CODES.items()))
+    code = F.coalesce(*(F.when(F.col("o_orderpriority") == p, c) for p, c in CODES.items()))
     date = F.date_format("o_orderdate", "dd/MM/yyyy")
     number = F.replace(F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit("."), F.lit(","))
     record = F.struct(
@@ -61,9 +61,9 @@ def _case(column: str, values: dict[str, object]) -> str:
     return f"case {column} {whens} end"
 
 
-_SERIES_ROWS = f"""
+SERIES_ROWS = f"""
 records as (
-  select {_case("o_orderpriority", _CODES)} as series_code, cast(o_orderdate as date) as date,
+  select {_case("o_orderpriority", CODES)} as series_code, cast(o_orderdate as date) as date,
          case when o_totalprice >= 20000 then cast(cast(o_totalprice as decimal(18,2)) as double) end
            as value,
          month(o_orderdate) = 12 and day(o_orderdate) = 31 as unreadable
@@ -74,12 +74,12 @@ codes(series_code, series_name, frequency, unit) as (
 )"""
 
 
-@query(f"""with {_SERIES_ROWS}
+@query(f"""with {SERIES_ROWS}
 select cast(series_code as integer) as series_code, series_name, frequency, unit, date, value
 from records join codes using (series_code)
 where value is not null and date between date '1996-01-01' and date '2000-12-31'""")
 def series_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landing = _series_landing(spark, sf_dir, F.lit(False))
+    landing = series_landing(spark, sf_dir, F.lit(False))
     loaded = pay.parse_series(
         pay.read_series_payloads(spark, landing),
         RUN_TS,
@@ -89,7 +89,7 @@ def series_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known_values(loaded.rows, "value").drop("ingested_at", PULLED_AT)
 
 
-@query(f"""with {_SERIES_ROWS}
+@query(f"""with {SERIES_ROWS}
 select cast(series_code as integer) as series_code, count(*) as held_back,
        count(*) filter (where unreadable) as bad_dates
 from records join codes using (series_code)
@@ -99,7 +99,7 @@ def payload_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Unreadable dates (New Year's Eve) hold back their whole series, and no other."""
     new_years_eve = (F.month("o_orderdate") == 12) & (F.dayofmonth("o_orderdate") == 31)
     bad = new_years_eve & (F.col("o_orderpriority") != "1-URGENT")
-    landing = _series_landing(spark, sf_dir, bad)
+    landing = series_landing(spark, sf_dir, bad)
     records = pay.read_series_payloads(spark, landing)
     loaded = pay.parse_series(records, RUN_TS, held_back_by=["series_code"])
     return loaded.rejects.groupBy("series_code").agg(
@@ -215,7 +215,7 @@ def stream_batches_agree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables[0].unionByName(tables[1])
 
 
-@query(f"""with {_SERIES_ROWS}
+@query(f"""with {SERIES_ROWS}
 select 'series' as source, cast(series_code as integer) as series_code, count(*) as held_back,
        '{RUN_TS}' as run_ts
 from records join codes using (series_code)
@@ -225,7 +225,7 @@ def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What a load held back, stored twice under one run and read again."""
     new_years_eve = (F.month("o_orderdate") == 12) & (F.dayofmonth("o_orderdate") == 31)
     bad = new_years_eve & (F.col("o_orderpriority") != "1-URGENT")
-    landing = _series_landing(spark, sf_dir, bad)
+    landing = series_landing(spark, sf_dir, bad)
     records = pay.read_series_payloads(spark, landing)
     loaded = pay.parse_series(records, RUN_TS, held_back_by=["series_code"])
     warehouse = Warehouse(spark, scratch_path(spark, "warehouse"))

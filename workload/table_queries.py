@@ -243,7 +243,7 @@ def _text(column: str) -> Column:
     return F.date_format(column, "yyyy-MM-dd HH:mm:ss").alias(column)
 
 
-def _shown(history: DataFrame) -> DataFrame:
+def shown(history: DataFrame) -> DataFrame:
     stamps = ["dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
     return history.select("ticker", *CHECK_COLUMNS, "dbt_scd_id", *(_text(c) for c in stamps))
 
@@ -256,7 +256,7 @@ def _merged(history: DataFrame, source: DataFrame, run_ts: str) -> DataFrame:
     return scd2.scd2_merge(history, source, SNAPSHOT_KEY, CHECK_COLUMNS, run_ts)
 
 
-def _versions(*selects: str) -> str:
+def versions_sql(*selects: str) -> str:
     union = "\nunion all\n".join(selects)
     return f"""with {META},
 pairs as (
@@ -284,7 +284,7 @@ def _version(state: str, condition: str, opened: int, closed: int | None) -> str
   from pairs where {condition}"""
 
 
-_AFTER_SECOND = [
+AFTER_SECOND = [
     _version("old", "had and (not has or changed)", 0, 1),
     _version("old", "had and has and not changed", 0, None),
     _version("new", "has and (not had or changed)", 1, None),
@@ -297,35 +297,35 @@ _AFTER_THIRD = [
 ]
 
 
-@query(_versions(_version("old", "had", 0, None)))
+@query(versions_sql(_version("old", "had", 0, None)))
 def scd2_initial(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _shown(_started(spark, sf_dir))
+    return shown(_started(spark, sf_dir))
 
 
-@query(_versions(*_AFTER_SECOND))
+@query(versions_sql(*AFTER_SECOND))
 def scd2_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """New, changed, removed and unchanged keys after a second run."""
     source = fx.metadata_v2(spark, sf_dir)
-    return _shown(_merged(_started(spark, sf_dir), source, RUNS[1]))
+    return shown(_merged(_started(spark, sf_dir), source, RUNS[1]))
 
 
-@query(_versions(_version("old", "had and not has", 0, 1)))
+@query(versions_sql(_version("old", "had and not has", 0, 1)))
 def scd2_hard_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys without an open row after the second run."""
     source = fx.metadata_v2(spark, sf_dir)
     history = _merged(_started(spark, sf_dir), source, RUNS[1])
     is_open = history.filter("dbt_valid_to is null").select("ticker")
-    return _shown(history.join(is_open, "ticker", "left_anti"))
+    return shown(history.join(is_open, "ticker", "left_anti"))
 
 
-@query(_versions(*_AFTER_THIRD))
+@query(versions_sql(*_AFTER_THIRD))
 def scd2_return(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third run on the first state: removed keys return with a gap."""
     v1, v2 = fx.metadata_v1(spark, sf_dir), fx.metadata_v2(spark, sf_dir)
-    return _shown(_merged(_merged(_started(spark, sf_dir), v2, RUNS[1]), v1, RUNS[2]))
+    return shown(_merged(_merged(_started(spark, sf_dir), v2, RUNS[1]), v1, RUNS[2]))
 
 
-@query(_versions(*_AFTER_THIRD))
+@query(versions_sql(*_AFTER_THIRD))
 def scd2_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same three runs on a stored history, each run twice."""
     path = scratch_path(spark, "scd2")
@@ -333,20 +333,20 @@ def scd2_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     for source, run_ts in zip((v1, v2, v1), RUNS, strict=True):
         for _ in range(2):
             scd2.scd2_table(spark, path, source, SNAPSHOT_KEY, CHECK_COLUMNS, run_ts)
-    return _shown(scd2.read_history(spark, path))
+    return shown(scd2.read_history(spark, path))
 
 
-@query(_versions(_version("old", "had", 0, 1)))
+@query(versions_sql(_version("old", "had", 0, 1)))
 def scd2_table_emptied(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A run without any key closes every row of the stored history."""
     path = scratch_path(spark, "scd2")
     v1 = fx.metadata_v1(spark, sf_dir)
     for source, run_ts in zip((v1, v1.limit(0)), RUNS, strict=False):
         scd2.scd2_table(spark, path, source, SNAPSHOT_KEY, CHECK_COLUMNS, run_ts)
-    return _shown(scd2.read_history(spark, path))
+    return shown(scd2.read_history(spark, path))
 
 
-@query(_versions(*_AFTER_SECOND))
+@query(versions_sql(*AFTER_SECOND))
 def scd2_table_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The second run is repeated with a corrected source: only that one counts."""
     path = scratch_path(spark, "scd2")
@@ -354,7 +354,7 @@ def scd2_table_retried(spark: SparkSession, sf_dir: str) -> DataFrame:
     wrong = v2.withColumn("sector", F.lit("wrong")).limit(7)
     for source, run_ts in ((v1, RUNS[0]), (wrong, RUNS[1]), (v1.limit(0), RUNS[1]), (v2, RUNS[1])):
         scd2.scd2_table(spark, path, source, SNAPSHOT_KEY, CHECK_COLUMNS, run_ts)
-    return _shown(scd2.read_history(spark, path))
+    return shown(scd2.read_history(spark, path))
 
 
 # All layers
