@@ -82,10 +82,13 @@ class RowGroups:
     runs: Mapping[str, Running]
     is_split: bool
 
+    @property
+    def partition_keys(self) -> list[str]:
+        return [*self.keys, _CHUNK] if self.is_split else list(self.keys)
+
     @property
     def window(self) -> WindowSpec:
-        keys = [*self.keys, _CHUNK] if self.is_split else self.keys
-        return Window.partitionBy(*keys).orderBy(self.order_by)
+        return Window.partitionBy(*self.partition_keys).orderBy(self.order_by)
 
     def trailing(self, size: int) -> WindowSpec:
         """Frame of the current row and the ``size - 1`` rows before it."""

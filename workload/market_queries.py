@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 from tidemark.operators.fill import forward_fill
 from tidemark.operators.rolling import with_rolling_metrics
 from tidemark.plans.macro import int_macro_pivoted
@@ -146,6 +148,33 @@ def rolling_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_rounded(metrics, *metrics.columns[2:])
 
 
+_LINEAR_SIZES, _LINEAR = (5, 63, 252, 500), ("sum", "min", "max", "count", "avg", "stddev")
+_ROLLING_LINEAR = ", ".join(
+    f"round({fn}(level) over (partition by ticker order by date "
+    f"rows {n - 1} preceding), 6) + cast(0 as double) as {fn}_level_{n}d"
+    for n in _LINEAR_SIZES
+    for fn in _LINEAR
+)
+
+
+@query(f"""with {FX_PRICES},
+levels as (
+  select ticker, date, case when dividends > 0 and close > 0 then ln(close) end as level
+  from fx_market_prices
+)
+select ticker, date, {_ROLLING_LINEAR} from levels""")
+def rolling_metrics_linear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Long frames over a column with gaps, in two passes; tickers cut into chunks."""
+    paying = (F.col("dividends") > 0) & (F.col("close") > 0)
+    rows = fx.market_prices(spark, sf_dir).select(
+        "ticker", "date", F.when(paying, F.ln("close")).alias("level")
+    )
+    metrics = with_rolling_metrics(
+        rows, "level", "ticker", "date", _LINEAR_SIZES, _LINEAR, max_rows=SPLIT_ROWS, linear=True
+    ).drop("level")
+    return with_rounded(metrics, *metrics.columns[2:])
+
+
 @query("""
 select o_custkey, o_orderkey,
        round(avg(o_totalprice) over three, 6) as avg_o_totalprice_3d,
