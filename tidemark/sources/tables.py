@@ -50,7 +50,7 @@ def read_table(
     ``version`` may be an earlier one; the newest is read without.
     """
     version = version or present(spark, path)
-    return _shaped(versions.read_parts(spark, path, version), schema)
+    return shaped(versions.read_parts(spark, path, version), schema)
 
 
 def read_since(
@@ -72,7 +72,7 @@ def read_periods(
 ) -> DataFrame:
     """Only the named periods of a stored table; no other folder is listed."""
     version = version or present(spark, path)
-    return _shaped(versions.read_parts(spark, path, version, periods), schema)
+    return shaped(versions.read_parts(spark, path, version, periods), schema)
 
 
 def newest_date(spark: SparkSession, path: str, date_col: str) -> dt.date | None:
@@ -178,7 +178,8 @@ def periods_of(version: Version) -> list[str]:
     return sorted(part for part in version.parts if part != NULL_PART)
 
 
-def _shaped(rows: DataFrame, schema: T.StructType | None) -> DataFrame:
+def shaped(rows: DataFrame, schema: T.StructType | None) -> DataFrame:
+    """Rows of a table with the columns of a schema, NULL for those it lacks."""
     if schema is None:
         return rows.drop(PERIOD)
     stored = set(rows.columns)
