@@ -5,16 +5,20 @@
 2. All documents are read once. What is kept of each is its vote pattern and the
    terms that the classifier may use; the patterns are counted over all of them,
    at most 2 ** VOTERS different ones.
-3. A generative label model explains the counts: every voter (and, on rows for
-   training, the annotator) votes with a rate of its own on toxic and on clean
-   documents, estimated by EM. Voters that still agree inside a class are
-   correlated; their evidence is discounted by the sum of their correlations.
-4. A linear classifier over voters and terms is trained on the model's posterior
-   labels of the sample and scores every document.
+3. A generative label model explains the counts: on toxic and on clean documents every
+   voter votes with a rate of its own, or, where voters still agree inside a class, with
+   rates that depend on the vote of the one it agrees with most (a forest of pairs, laid
+   by conditional mutual information). EM estimates shares, rates and pairs from all
+   documents; it starts from the annotator's rows, and the annotator is one more voter
+   on them while it runs.
+4. A linear classifier over voters and terms is trained on the model's posteriors of a
+   bounded hash sample of all documents outside the held-out fold, labelled or not.
+   There the annotator is silent: what it said of a document counts through the rates
+   alone. It scores every document.
 
 Defined results: a null or empty text has no votes and gets the score of its bias.
-Without labelled rows of both kinds there is no classifier and the score is the
-posterior of the label model. Extra columns are ignored.
+Without labelled rows of both kinds, or terms that tell them apart, there is no
+classifier and the score is the posterior of the label model. A sampled id that repeats counts once per vote pattern. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -79,7 +83,8 @@ def terms_of(text: bytes) -> set[bytes]:
 
 
 def mined_terms(sample: DataFrame) -> list[tuple[bytes, float]]:
-    """Terms that mark one label in the sample, with their deviations, strongest first."""
+    """Terms that mark one label in the sample, with their evidence (the logarithm of
+    how much likelier they are in documents of label 1), greatest first."""
 
     def seen(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -126,8 +131,13 @@ def mined_terms(sample: DataFrame) -> list[tuple[bytes, float]]:
         .filter(F.abs("z") >= MIN_DEVIATIONS)
         .orderBy(F.abs("z").desc(), "term")
         .limit(MAX_TERMS)
+        .withColumn(
+            "evidence",
+            F.log((F.col("ones") + 0.5) / (ones + 1)) - F.log((F.col("zeros") + 0.5) / (zeros + 1)),
+        )
+        .orderBy(F.desc("evidence"), "term")
     )
-    return [(bytes(r["term"]), r["z"]) for r in strongest.collect()]
+    return [(bytes(r["term"]), r["evidence"]) for r in strongest.collect()]
 
 
 def votes_of(text: bytes, place: dict[bytes, int], lexicon: dict[bytes, int]) -> tuple[int, list]:
@@ -146,8 +156,11 @@ def votes_of(text: bytes, place: dict[bytes, int], lexicon: dict[bytes, int]) ->
     for needle, pattern in _PATTERNS:
         votes |= (needle in lower and pattern.search(lower) is not None) << at
         at += 1
-    abusive = len([w for w in known if w in lexicon]) + len((words & _ANY) - known)
-    votes |= (abusive >= 2) << at
+    marks = [w for w in known if w in lexicon]
+    whole = {w for w in marks if not w.startswith(b"^")}
+    # A beginning is no second mark beside a marked word that begins so.
+    begun = {w.lstrip(b"^") for w in marks} - whole - {w[:PREFIX_BYTES] for w in whole}
+    votes |= (len(whole) + len(begun) + len((words & _ANY) - known) >= 2) << at
     letters = len(text) - len(text.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"))
     votes |= (len(text) >= 40 and 2 * letters > len(text)) << (at + 1)
     return votes, sorted(place[w] for w in known)
@@ -156,8 +169,9 @@ def votes_of(text: bytes, place: dict[bytes, int], lexicon: dict[bytes, int]) ->
 def read_votes(docs: DataFrame, mined: list[tuple[bytes, float]]) -> DataFrame:
     """Stored rows of all documents: doc_id, votes, words (places of known terms)."""
     place = {term: i for i, (term, _) in enumerate(mined)}
-    toxic = [term for term, z in mined if z > 0]
-    lexicon = {term: i % MINED for i, term in enumerate(toxic)}
+    # One lexicon a tier of evidence, so that a single strong term can be enough.
+    toxic = [term for term, evidence in mined if evidence > 0]
+    lexicon = {term: i * MINED // len(toxic) for i, term in enumerate(toxic)}
 
     def voted(batches: Iterator) -> Iterator:
         import pyarrow as pa
@@ -179,9 +193,11 @@ def bits(votes: np.ndarray) -> np.ndarray:
 
 
 class LabelModel:
-    """Rates of the voters on clean (row 0) and toxic (row 1) documents.
+    """Votes on clean (0) and toxic (1) documents.
 
-    The last voter is the annotator, who votes on rows for training only.
+    `rates` are those of single voters, the last of which is the annotator, who votes on
+    rows for training only. A voter with a `parent` votes by the rates `given` the class
+    and the parent's vote instead.
     """
 
     def __init__(self, share: float):
@@ -189,57 +205,124 @@ class LabelModel:
         self.rates = np.empty((2, VOTERS + 1))
         self.rates[0], self.rates[1] = 0.02, 0.3
         self.rates[:, -1] = 0.05, 0.95
-        self.discount = np.ones(VOTERS + 1)
+        self.parent = np.full(VOTERS, -1)
+        self.given = np.repeat(self.rates[:, :-1, None], 2, axis=2)
+        self.correlations = np.zeros((VOTERS, VOTERS))
+
+    def likelihood(self, seen: np.ndarray) -> np.ndarray:
+        """Log-probability of votes (rows of 0 and 1) in both classes, as columns."""
+        out = np.empty((len(seen), 2))
+        rooted = np.where(self.parent < 0, 0, self.parent)
+        leading = np.where(self.parent < 0, 0, seen[:, rooted]).astype(np.int64)
+        for y in (0, 1):
+            rate = np.take_along_axis(self.given[y].T, leading, axis=0)
+            out[:, y] = np.where(seen > 0, np.log(rate), np.log1p(-rate)).sum(axis=1)
+        return out
 
     def posterior(self, votes: np.ndarray, label: np.ndarray) -> np.ndarray:
         """Probability of toxic; label is 1, 0, or -1 where the annotator is silent."""
-        seen = np.column_stack([bits(votes), label == 1]).astype(np.float64)
-        says = np.ones_like(seen)
-        says[:, -1] = label >= 0
-        for_one = np.log(self.rates[1]) - np.log(self.rates[0])
-        for_none = np.log1p(-self.rates[1]) - np.log1p(-self.rates[0])
-        evidence = (seen * for_one + (1 - seen) * for_none) * self.discount * says
-        odds = np.log(self.share) - np.log1p(-self.share) + evidence.sum(axis=1)
+        evidence = self.likelihood(bits(votes))
+        said = np.log(np.where(label[:, None] == 1, self.rates[:, -1], 1 - self.rates[:, -1]))
+        evidence += np.where(label[:, None] >= 0, said, 0.0)
+        odds = np.log(self.share) - np.log1p(-self.share) + evidence[:, 1] - evidence[:, 0]
         return 1 / (1 + np.exp(-np.clip(odds, -40, 40)))
 
     def fit(self, votes: np.ndarray, label: np.ndarray, count: np.ndarray, rounds: int = 25):
-        """EM over counted patterns; one pattern per pair of votes and label."""
-        seen = np.column_stack([bits(votes), label == 1]).astype(np.float64)
-        says = np.ones_like(seen)
+        """EM over counted patterns; one pattern per pair of votes and label.
+
+        The pairs are laid anew in the first half of the rounds, so that the others
+        improve one likelihood.
+        """
+        seen = bits(votes)
+        taught = float(count[label >= 0].sum())
+        untaught = float(count.sum()) - taught
+        if taught and untaught > taught:
+            # Together the others weigh as much as the annotator's rows, so that however
+            # many they are, the classes stay those that the annotator means.
+            count = np.where(label >= 0, count, count * (taught / untaught))
+        annotated = np.column_stack([seen, label == 1]).astype(np.float64)
+        says = np.ones_like(annotated)
         says[:, -1] = label >= 0
         for round_ in range(rounds):
             if round_ == 0 and (label >= 0).any():
-                known = np.where(label >= 0, np.where(label == 1, 0.95, 0.05), np.nan)
-                toxic = np.where(np.isnan(known), 0.0, known)
-                weight = count * (label >= 0)
+                toxic, weight = np.where(label == 1, 0.95, 0.05), count * (label >= 0)
             else:
                 toxic, weight = self.posterior(votes, label), count
-            for y, part in ((0, (1 - toxic) * weight), (1, toxic * weight)):
-                voted = (part[:, None] * says * seen).sum(axis=0)
+            parts = ((1 - toxic) * weight, toxic * weight)
+            for y, part in enumerate(parts):
+                voted = (part[:, None] * says * annotated).sum(axis=0)
                 asked = (part[:, None] * says).sum(axis=0)
                 # One imagined document per class and a weak prior keep rates inside (0, 1).
                 prior = self.rates[y]
                 self.rates[y] = np.clip((voted + 2 * prior) / (asked + 2), 1e-5, 1 - 1e-5)
             if round_:
                 self.share = float(np.clip((toxic * count).sum() / count.sum(), 1e-3, 0.999))
-            self._correlate(seen[:, :-1], toxic, weight)
+            if round_ <= rounds // 2:
+                self._lay_pairs(seen, parts)
+            self._fit_pairs(seen, parts)
         return self
 
-    def _correlate(self, seen: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> None:
-        """Discounts from the correlations that are left inside the classes."""
-        total = np.zeros((VOTERS, VOTERS))
-        for y, part in ((0, (1 - toxic) * weight), (1, toxic * weight)):
+    def _lay_pairs(self, seen: np.ndarray, parts: tuple[np.ndarray, np.ndarray]) -> None:
+        """The forest of pairs that tell most about each other inside the classes."""
+        total, strongest = np.zeros((VOTERS, VOTERS)), np.zeros((VOTERS, VOTERS))
+        everything = max(sum(part.sum() for part in parts), 1e-9)
+        for part in parts:
             size = part.sum()
             if size <= 0:
                 continue
             mean = (part[:, None] * seen).sum(axis=0) / size
-            both = (seen * part[:, None]).T @ seen / size - np.outer(mean, mean)
+            both = (seen * part[:, None]).T @ seen / size
             spread = np.sqrt(np.maximum(mean * (1 - mean), 1e-9))
-            total = np.maximum(total, both / np.outer(spread, spread))
-        self.correlations = np.clip(total - np.diag(np.diag(total)), 0, 1)
+            link = (both - np.outer(mean, mean)) / np.outer(spread, spread)
+            strongest = np.maximum(strongest, link)
+            for ours in (0, 1):
+                for theirs in (0, 1):
+                    one = mean if ours else 1 - mean
+                    other = mean if theirs else 1 - mean
+                    joint = {
+                        (1, 1): both,
+                        (1, 0): mean[:, None] - both,
+                        (0, 1): mean[None, :] - both,
+                        (0, 0): 1 - mean[:, None] - mean[None, :] + both,
+                    }[ours, theirs]
+                    joint = np.maximum(joint, 1e-12)
+                    apart = np.maximum(np.outer(one, other), 1e-12)
+                    total += size / everything * joint * np.log(joint / apart)
+        self.correlations = np.clip(strongest - np.diag(np.diag(strongest)), 0, 1)
         # Chance correlations among few votes are left alone.
-        strong = np.where(self.correlations > 0.1, self.correlations, 0)
-        self.discount[:-1] = 1 / (1 + strong.sum(axis=1))
+        usable = (np.abs(self.correlations) > 0.1) & (2 * everything * total > 12)
+        self.parent = np.full(VOTERS, -1)
+        group = np.arange(VOTERS)
+        ranked = np.argsort(-total, axis=None, kind="stable")
+        edges = [[] for _ in range(VOTERS)]
+        for a, b in zip(*np.unravel_index(ranked, total.shape)):
+            if a < b and usable[a, b] and group[a] != group[b]:
+                group[group == group[b]] = group[a]
+                edges[a].append(b)
+                edges[b].append(a)
+        reached: set[int] = set()
+        for root in range(VOTERS):
+            ahead = [] if root in reached else [root]
+            while ahead:
+                at = ahead.pop()
+                reached.add(at)
+                for other in edges[at]:
+                    if other not in reached:
+                        self.parent[other] = at
+                        ahead.append(other)
+
+    def _fit_pairs(self, seen: np.ndarray, parts: tuple[np.ndarray, np.ndarray]) -> None:
+        """Rates given the parent's vote, drawn towards those without it."""
+        for y, part in enumerate(parts):
+            for voter, parent in enumerate(self.parent):
+                alone = self.rates[y, voter]
+                for vote in (0, 1):
+                    rate = alone
+                    if parent >= 0:
+                        asked = part * (seen[:, parent] == vote)
+                        voted = (asked * seen[:, voter]).sum()
+                        rate = (voted + 2 * alone) / (asked.sum() + 2)
+                    self.given[y, voter, vote] = np.clip(rate, 1e-5, 1 - 1e-5)
 
 
 def train_linear(
@@ -282,6 +365,37 @@ def _features(votes: np.ndarray, words: list, n_words: int) -> np.ndarray:
     return out
 
 
+def training_rows(read: DataFrame, rows: int) -> tuple[list, np.ndarray]:
+    """Votes and terms of at most `rows` documents outside the held-out fold, and weights.
+
+    Half of them come from documents with votes, half from those without, where there
+    are as many, chosen by hashes of their ids; the weights (1 on average) undo that.
+    """
+    open_ = read.filter(labelled.fold("doc_id", FOLDS) != HELD_OUT).withColumn(
+        "voted", F.col("votes") != 0
+    )
+    sizes = {r["voted"]: r["count"] for r in open_.groupBy("voted").count().collect()}
+    few = min([*sizes.values(), rows // 2]) if len(sizes) == 2 else 0
+    taught, weight = [], []
+    for voted, size in sorted(sizes.items()):
+        take = min(size, rows - few)
+        # Four times as many ids as wanted are looked at, or all there are.
+        share = min(1.0, 4 * take / size)
+        limit = int(-(2**63) + share * (2**64 - 1)) if share < 1 else 2**63 - 1
+        chosen = (
+            open_.filter((F.col("voted") == voted) & (F.xxhash64("doc_id") <= limit))
+            .dropDuplicates(["doc_id", "votes", "words"])
+            .orderBy(F.xxhash64("doc_id"), "doc_id", "votes", "words")
+            .limit(take)
+            .select("doc_id", "votes", "words")
+            .collect()
+        )
+        taught += chosen
+        weight += [size / max(1, len(chosen))] * len(chosen)
+    scale = np.array(weight)
+    return taught, scale / scale.mean() if len(scale) else scale
+
+
 def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """Per document: doc_id, held_out, score, predicted."""
     texts, share = labelled.sample(docs, labels, "toxic", rows, FOLDS, HELD_OUT)
@@ -310,24 +424,15 @@ def score(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFr
         columns = [np.array([p[c] for p in patterns]) for c in ("votes", "label", "count")]
         label_model.fit(columns[0], columns[1], columns[2].astype(np.float64))
 
-    taught = (
-        read_votes(sample, mined)
-        .join(F.broadcast(sample.select("doc_id", "label")), "doc_id")
-        .select("doc_id", "votes", "words", "label")
-        .collect()
-    )  # at most `rows` rows
     linear = None
-    if len({t["label"] for t in taught}) == 2:
-        taught.sort(key=lambda t: (t["doc_id"], t["votes"], t["words"]))
-        votes = np.array([t["votes"] for t in taught])
-        label = np.array([t["label"] for t in taught])
-        here = label.mean()
-        weight = np.where(label == 1, share / here, (1 - share) / (1 - here))
+    if mined:
+        taught, weight = training_rows(read, rows)
+        votes = np.array([t["votes"] for t in taught], dtype=np.int64)
         linear = train_linear(
             _features(votes, [t["words"] for t in taught], len(mined)),
-            label_model.posterior(votes, label),
+            label_model.posterior(votes, np.full(len(votes), -1)),
             weight,
-            np.concatenate([np.ones(VOTERS), [np.sign(z) for _, z in mined]]),
+            np.concatenate([np.ones(VOTERS), [np.sign(evidence) for _, evidence in mined]]),
         )
 
     def scored(batches: Iterator) -> Iterator:
