@@ -3,7 +3,9 @@
 import pytest
 
 from tidemark.operators import quality as q
-from tidemark.operators.compare import compare_relations, row_count_matches
+from pyspark.sql import functions as F
+
+from tidemark.operators.compare import compare_by_digest, compare_relations, row_count_matches
 from tidemark.plans import checks as configured
 
 
@@ -106,3 +108,28 @@ def test_compare(spark):
 def test_row_count(spark):
     assert [tuple(r) for r in row_count_matches(spark.range(3), 3).collect()] == [(3, 3, True)]
     assert not row_count_matches(spark.range(3), 4).head().matches
+
+
+def counts(a, b, **options):
+    found = compare_by_digest(a, b, ["k"], **options).collect()
+    return {(r.in_a, r.in_b): r.rows for r in found}
+
+
+def test_compare_by_digest_counts_repeated_rows(spark):
+    schema = "k int, v string, d date"
+    rows = [(i % 50, None if i % 7 == 0 else f"v{i % 5}", None) for i in range(400)]
+    a = spark.createDataFrame(rows, schema)
+    assert counts(a, a.repartition(5)) == {(True, True): 400}
+    more = spark.createDataFrame([*rows[:-3], (1, "new", None), rows[0]], schema)
+    assert counts(a, more) == {(True, True): 397, (True, False): 3, (False, True): 2}
+    assert counts(a, a.limit(0)) == {(True, False): 400}
+    assert counts(a.limit(0), a.limit(0)) == {}
+
+
+def test_compare_by_digest_reads_differing_buckets_only(spark):
+    """Equal buckets are not read again: a value that fails to be read there does no harm."""
+    a = spark.range(1000).selectExpr("cast(id as int) as k", "id * 2 as v")
+    b = a.withColumn("v", F.when(F.col("k") == 17, F.lit(-1)).otherwise(F.col("v")))
+    assert counts(a, b) == {(True, True): 999, (True, False): 1, (False, True): 1}
+    period = F.floor(F.col("k") / 100)
+    assert counts(a, b, period=period, buckets=4) == counts(a, b)

@@ -110,3 +110,52 @@ def test_closed_rows_are_not_rewritten(spark, tmp_path):
     scd2_table(spark, path, source(spark, ("A", "c", "s")), "ticker", CHECKS, stamp(3))
     assert len(closed) == 1
     assert closed < {p for p in tmp_path.glob("t/data/*/_period=closed-*/*.parquet")}
+
+
+def test_runs_in_any_order_give_one_history(spark):
+    for seed in range(4):
+        rng = random.Random(seed)
+        states = []
+        for _ in range(6):
+            present = [k for k in "ABCDEFGHIJ" if rng.random() < 0.75]
+            states.append(source(spark, *((k, rng.choice("xy"), rng.choice(["s", None])) for k in present)))
+        ordered, shuffled = scratch_path(spark, "scd2"), scratch_path(spark, "scd2")
+        runs = list(enumerate(states, start=1))
+        for run, state in runs:
+            scd2_table(spark, ordered, state, "ticker", CHECKS, stamp(run))
+        # The first run comes first: nothing is known of what was before it.
+        late = runs[1:]
+        rng.shuffle(late)
+        for run, state in [runs[0], *late]:
+            scd2_table(spark, shuffled, state, "ticker", CHECKS, stamp(run))
+        assert versions(read_history(spark, shuffled)) == versions(read_history(spark, ordered))
+        ids = [
+            sorted((r.ticker, r.dbt_scd_id, r.dbt_updated_at) for r in read_history(spark, p).collect())
+            for p in (ordered, shuffled)
+        ]
+        assert ids[0] == ids[1]
+
+
+def test_a_late_run_before_all_others(spark):
+    path = scratch_path(spark, "scd2")
+    scd2_table(spark, path, source(spark, ("A", "b", "s"), ("C", "c", "s")), "ticker", CHECKS, stamp(5))
+    scd2_table(spark, path, source(spark, ("A", "b", "s"), ("B", "x", "s")), "ticker", CHECKS, stamp(3))
+    assert versions(read_history(spark, path)) == [
+        ("A", "b", 3, None),
+        ("B", "x", 3, 5),
+        ("C", "c", 5, None),
+    ]
+    with pytest.raises(ValueError, match="only the newest"):
+        scd2_table(spark, path, source(spark), "ticker", CHECKS, stamp(3))
+
+
+def test_a_late_run_reads_only_what_ended_later(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for run, name in ((1, "a"), (2, "b"), (4, "c")):
+        scd2_table(spark, path, source(spark, ("A", name, "s")), "ticker", CHECKS, stamp(run))
+    closed = {p for p in tmp_path.glob("t/data/*/_period=closed-20240102*/*.parquet")}
+    assert len(closed) == 1
+    for file in closed:
+        file.write_bytes(b"no parquet")
+        file.with_name(f".{file.name}.crc").unlink(missing_ok=True)
+    scd2_table(spark, path, source(spark, ("A", "late", "s")), "ticker", CHECKS, stamp(3))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import quality as q
+from tidemark.operators.compare import compare_by_digest as by_digest
 from tidemark.operators.compare import compare_relations as compare
 from tidemark.operators.compare import row_count_matches as matches
 from tidemark.plans import checks as configured
@@ -188,6 +189,40 @@ def compare_relations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare(fx.metadata_v1(spark, sf_dir), fx.metadata_v2(spark, sf_dir))
 
 
+_LINES = """l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice,
+       cast(l_shipdate as date) as shipped"""
+
+
+@query(f"""
+with a_rows as (select {_LINES} from lineitem),
+b_rows as (
+  select * replace (case when l_orderkey % 97 = 0 then l_quantity + 1 else l_quantity end
+                      as l_quantity)
+  from a_rows where l_orderkey % 101 <> 0
+  union all
+  select * from a_rows where l_orderkey % 103 = 0
+)
+select true as in_a, true as in_b, cast(count(*) as bigint) as rows
+from (table a_rows intersect all table b_rows)
+union all
+select true, false, count(*) from (table a_rows except all table b_rows)
+union all
+select false, true, count(*) from (table b_rows except all table a_rows)""")
+def compare_by_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items against a copy with changed, missing and repeated ones, by month."""
+    a = fx.table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_extendedprice",
+        F.col("l_shipdate").cast("date").alias("shipped"),
+    )
+    raised = F.when(F.col("l_orderkey") % 97 == 0, F.col("l_quantity") + 1)
+    b = (
+        a.filter("l_orderkey % 101 <> 0")
+        .withColumn("l_quantity", F.coalesce(raised, "l_quantity"))
+        .unionByName(a.filter("l_orderkey % 103 = 0"))
+    )
+    return by_digest(a, b, ["l_orderkey"], F.date_format("shipped", "yyyy-MM"))
+
+
 @query(f"""with {FX_SERIES}
 select series_code, count(*) as n_records from fx_bacen_series
 group by series_code, date having count(*) > 1

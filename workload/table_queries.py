@@ -289,7 +289,7 @@ AFTER_SECOND = [
     _version("old", "had and has and not changed", 0, None),
     _version("new", "has and (not had or changed)", 1, None),
 ]
-_AFTER_THIRD = [
+AFTER_THIRD = [
     _version("old", "had and (not has or changed)", 0, 1),
     _version("old", "had and has and not changed", 0, None),
     _version("new", "has and (not had or changed)", 1, 2),
@@ -318,14 +318,14 @@ def scd2_hard_delete(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(history.join(is_open, "ticker", "left_anti"))
 
 
-@query(versions_sql(*_AFTER_THIRD))
+@query(versions_sql(*AFTER_THIRD))
 def scd2_return(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A third run on the first state: removed keys return with a gap."""
     v1, v2 = fx.metadata_v1(spark, sf_dir), fx.metadata_v2(spark, sf_dir)
     return shown(_merged(_merged(_started(spark, sf_dir), v2, RUNS[1]), v1, RUNS[2]))
 
 
-@query(versions_sql(*_AFTER_THIRD))
+@query(versions_sql(*AFTER_THIRD))
 def scd2_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same three runs on a stored history, each run twice."""
     path = scratch_path(spark, "scd2")

@@ -26,7 +26,7 @@ from workload.market_queries import RETURN_METRICS
 from workload.oracle_parts import FX_PRICES, RETURNS
 from workload.registry import query, with_rounded
 from workload.source_queries import CODES, RUN_TS, SERIES_ROWS
-from workload.table_queries import AFTER_SECOND, RUNS, shown, versions_sql
+from workload.table_queries import AFTER_SECOND, AFTER_THIRD, RUNS, shown, versions_sql
 
 # A write that fails
 
@@ -66,6 +66,16 @@ def scd2_table_failed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(scd2.read_history(spark, path))
 
 
+@query(versions_sql(*AFTER_THIRD))
+def scd2_late_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second of three runs comes last and is put between the others."""
+    path = scratch_path(spark, "scd2")
+    v1, v2 = fx.metadata_v1(spark, sf_dir), fx.metadata_v2(spark, sf_dir)
+    for source, run_ts in ((v1, RUNS[0]), (v1, RUNS[2]), (v2, RUNS[1])):
+        scd2.scd2_table(spark, path, source, SNAPSHOT_KEY, CHECK_COLUMNS, run_ts)
+    return shown(scd2.read_history(spark, path))
+
+
 @query(f"""with {FX_PRICES}
 select ticker, date, close, 'before' as state from fx_market_prices where date < date '2001-07-01'
 union all
