@@ -1,18 +1,25 @@
-"""Secrets in texts: candidates by pattern, false positives removed by a random forest.
+"""Secrets in texts: candidates by pattern, false positives removed by random forests.
 
 Everything runs on DataFrame functions. One pass finds the candidates of all whole
 texts with the words around them: values of any length that are assigned to a
-credential's name, headers of private keys, and runs of 16 or more characters. A second counts in how many documents each word
-occurs, and the DICTIONARY_WORDS commonest are the dictionary. A candidate's features
-are its length, its character transitions and variety, how much of it the dictionary
-covers, its shape as a path, and its neighbouring words. A random forest learns from
-labelled findings and scores every candidate.
-
-`labelled_by_format` labels the findings whose format leaves no doubt: quoted values
-assigned to a credential's name, and unquoted or short ones of letters and digits, are
-secrets, and so are headers of private keys (which always score 1); plain numbers, paths, hosts, placeholders
-and runs of words are not. Findings in between are judged by what the forest has
-learnt. Another source of labelled findings can be passed instead.
+credential's name, headers of private keys, and runs of 16 or more characters. A second
+counts in how many documents each word occurs; the DICTIONARY_WORDS commonest are the
+dictionary, and how their letters follow each other is the table of transitions.
+
+Two forests look at two views. The first sees the candidate alone: its length, how
+likely its character transitions are by that table, its variety and kinds of characters,
+how much of it the dictionary covers, and its shape as a path. It learns from labelled
+findings. The second sees what is around: a name, an assignment, quotes, a path that
+leads there, and the CONTEXT_WORDS commonest neighbouring words of findings. It learns
+from the findings, labelled or not, that the first is sure of. The odds of both are
+multiplied, so that a value of a secret's form needs no name beside it, and a name
+beside a path or a word is not enough.
+
+`labelled_by_format` labels by what stands around a finding: values assigned to a
+credential's name are secrets, and so are headers of private keys (which always score
+1); what follows a path or a harmless word is none, and neither are plain numbers,
+hosts, placeholders and runs of words. Findings in between are judged by what the
+forests have learnt. Another source of labelled findings can be passed instead.
 
 Defined results: null and empty texts have no candidates. A candidate that repeats is
 a finding each time. Without labelled findings of both kinds nothing is removed and
@@ -21,6 +28,8 @@ the score is 0.5. Offsets and lengths are in code points. Extra columns are igno
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -32,10 +41,13 @@ from tidemark.session import materialize
 
 _MARK = "\x01"
 BEFORE, AFTER = 48, 24
-DICTIONARY_WORDS = 2_000
+DICTIONARY_WORDS, WORD_DOCUMENTS = 2_000, 3
 # Labelled findings of each kind that the forest is fitted on at most.
 SAMPLE_ROWS = 4_000
 TREES, DEPTH = 40, 8
+# The first forest is sure of a finding at this score or above, or at as little below.
+SURE_AT = 0.9
+CONTEXT_WORDS = 48
 SECRET_AT = 0.5
 
 # Names of credentials, and words beside what is none.
@@ -108,8 +120,11 @@ def candidates(docs: DataFrame) -> DataFrame:
     )
 
 
-def dictionary(docs: DataFrame) -> list[str]:
-    """The words that occur in most documents, DICTIONARY_WORDS at most."""
+def dictionary(docs: DataFrame) -> list[tuple[str, int]]:
+    """The words that occur in most documents, DICTIONARY_WORDS at most, and in how many.
+
+    What occurs in fewer than WORD_DOCUMENTS may be a piece of a candidate.
+    """
     words = F.regexp_extract_all(
         F.lower("text"), F.lit("(?<![a-z])[a-z]{4,12}(?![a-z])"), F.lit(0)
     )
@@ -117,14 +132,50 @@ def dictionary(docs: DataFrame) -> list[str]:
         docs.select(F.explode(F.array_distinct(words)).alias("word"))
         .groupBy("word")
         .count()
+        .filter(F.col("count") >= WORD_DOCUMENTS)
         .orderBy(F.desc("count"), "word")
         .limit(DICTIONARY_WORDS)
     )
-    return [r["word"] for r in top.collect()]
+    return [(r["word"], r["count"]) for r in top.collect()]
+
+
+# Letters are 1 to 26, all other characters 0.
+_KINDS = 27
+
+
+def transitions(words: list[tuple[str, int]]) -> list[float]:
+    """Logarithms of how often a character follows another in the words, all pairs."""
+    counts = [[1.0] * _KINDS for _ in range(_KINDS)]
+    for word, n in words:
+        kinds = [ord(c) - 96 for c in word]
+        for a, b in zip(kinds, kinds[1:]):
+            counts[a][b] += n
+    return [math.log(n / sum(row)) for row in counts for n in row]
+
+
+def _likelihood(candidate: Column, table: list[float]) -> Column:
+    """Mean logarithm of the likelihood of a candidate's character transitions."""
+    kind = F.transform(
+        F.split(F.lower(candidate), ""),
+        lambda c: F.when(c.between("a", "z"), F.ascii(c) - 96).otherwise(0),
+    )
+    likely = F.array(*[F.lit(x) for x in table])
+    pairs = F.zip_with(kind, F.slice(kind, 2, F.greatest(F.size(kind) - 1, F.lit(0))),
+                       lambda a, b: F.get(likely, a * _KINDS + b))
+    total = F.aggregate(
+        pairs, F.lit(0.0), lambda x, y: x + F.coalesce(y, F.lit(0.0))
+    )
+    return total / F.greatest(F.size(kind) - 1, F.lit(1))
+
 
+# What the second forest sees besides the neighbouring words; the first sees the rest.
+AROUND = ["f_after_path", "f_credential", "f_harmless", "f_assigned", "f_quoted",
+          "f_words_before", "f_words_after"]
 
-def features(found: DataFrame, words: list[str]) -> tuple[DataFrame, list[str]]:
+
+def features(found: DataFrame, counted: list[tuple[str, int]]) -> tuple[DataFrame, list[str]]:
     """The findings with their features, and the features' names."""
+    words = [word for word, _ in counted]
     candidate, before, after = F.col("candidate"), F.lower("before"), F.lower("after")
     length = F.char_length(candidate)
 
@@ -143,7 +194,8 @@ def features(found: DataFrame, words: list[str]) -> tuple[DataFrame, list[str]]:
     )
     columns = {
         "f_length": length,
-        "f_transitions": (F.char_length(runs) - 1) / length,
+        "f_transitions": _likelihood(candidate, transitions(counted)),
+        "f_changes": (F.char_length(runs) - 1) / length,
         "f_longest_run": F.array_max(
             F.transform(F.split(kinds, "(?<=(.))(?!\\1)"), lambda s: F.char_length(s))
         ),
@@ -154,6 +206,7 @@ def features(found: DataFrame, words: list[str]) -> tuple[DataFrame, list[str]]:
         "f_symbols": share("+/_=."),
         "f_dictionary": covered / length,
         "f_slashes": length - F.char_length(F.replace(candidate, F.lit("/"), F.lit(""))),
+        "f_dashes": length - F.char_length(F.replace(candidate, F.lit("-"), F.lit(""))),
         "f_dots": length - F.char_length(F.replace(candidate, F.lit("."), F.lit(""))),
         "f_after_path": before.rlike("(://|[/@~])$").cast("int"),
         "f_credential": before.rlike(f"({CREDENTIAL_WORDS})[^\\n]{{0,12}}$").cast("int"),
@@ -180,6 +233,53 @@ def labelled_by_format(described: DataFrame) -> DataFrame:
     return described.withColumn("label", label).filter("label is not null")
 
 
+def context_words(found: DataFrame) -> list[str]:
+    """The words that stand beside most different findings, CONTEXT_WORDS at most."""
+    different = found.select("candidate", _near_words().alias("words")).distinct()
+    top = (
+        different.select(F.explode("words").alias("word"))
+        .groupBy("word")
+        .count()
+        .orderBy(F.desc("count"), "word")
+        .limit(CONTEXT_WORDS)
+    )
+    return [r["word"] for r in top.collect()]
+
+
+def _near_words() -> Column:
+    near = F.split(F.lower(F.concat_ws(" ", "before", "after")), "[^a-z]+")
+    return F.array_distinct(F.filter(near, lambda w: F.char_length(w) >= 3))
+
+
+def _different(known: DataFrame, names: list[str]) -> DataFrame:
+    """SAMPLE_ROWS labelled findings of each kind at most; copies count once."""
+    sample = None
+    for value in (0, 1):
+        part = known.filter(F.col("label") == value).groupBy("label", "candidate", "before")
+        part = part.agg(F.min(F.struct(*names)).alias("f")).select("label", "candidate", "before", "f.*")
+        part = part.orderBy(F.xxhash64("candidate", "before"), "candidate", "before").limit(SAMPLE_ROWS)
+        sample = part if sample is None else sample.unionByName(part)
+    return sample.withColumn("label", F.col("label").cast("double"))
+
+
+def _scored(findings: DataFrame, sample: DataFrame, names: list[str], score: str) -> DataFrame | None:
+    """The findings with the score of a forest fitted on the sample, if it has both kinds."""
+    if sample.select("label").distinct().count() < 2:
+        return None
+    forest = RandomForestClassifier(
+        labelCol="label", featuresCol="_view", numTrees=TREES, maxDepth=DEPTH, seed=7
+    )
+    model = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="_view"), forest]).fit(sample)
+    scored = model.transform(findings).withColumn(score, F.get(vector_to_array("probability"), F.lit(1)))
+    return scored.drop("_view", "rawPrediction", "probability", "prediction")
+
+
+def _odds(probability: Column) -> Column:
+    """Logarithm of the odds; no forest is surer than one in fifty."""
+    bounded = F.greatest(F.least(probability, F.lit(0.98)), F.lit(0.02))
+    return F.log(bounded) - F.log(1 - bounded)
+
+
 def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """All findings: doc_id, start, length, finding, score, is_secret.
 
@@ -187,30 +287,36 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None) -> DataFrame:
     """
     words = dictionary(docs)
     described, names = features(candidates(docs), words)
+    described = materialize(described, "findings")
+    own = [n for n in names if n not in AROUND]
     if labelled is None:
         known = labelled_by_format(described)
     else:
         known = features(labelled, words)[0].filter("label is not null")
-    sample = None
-    for value in (0, 1):
-        # Copies count once, so that the sample is as many different findings.
-        part = known.filter(F.col("label") == value).groupBy("label", "candidate", "before")
-        part = part.agg(F.min(F.struct(*names)).alias("f")).select("label", "candidate", "before", "f.*")
-        part = part.orderBy(F.xxhash64("candidate", "before"), "candidate", "before").limit(SAMPLE_ROWS)
-        sample = part if sample is None else sample.unionByName(part)
-    sample = materialize(sample.withColumn("label", F.col("label").cast("double")), "sample")
-    if sample.select("label").distinct().count() == 2:
-        forest = RandomForestClassifier(
-            labelCol="label", featuresCol="features", numTrees=TREES, maxDepth=DEPTH, seed=7
-        )
-        stages = [VectorAssembler(inputCols=names, outputCol="features"), forest]
-        described = Pipeline(stages=stages).fit(sample).transform(described)
-        score = F.get(vector_to_array("probability"), F.lit(1))
+    alone = _scored(described, materialize(_different(known, own), "sample"), own, "by_form")
+    if alone is None:
+        scored = described.withColumn("score", F.lit(SECRET_AT))
     else:
-        score = F.lit(SECRET_AT)
-    # The header of a private key is one, however few the forest has seen.
-    score = F.when(F.col("candidate").rlike(f"^{PEM}$"), F.lit(1.0)).otherwise(score)
-    return described.withColumn("score", score).select(
+        beside = context_words(described)
+        near = [f"w_{word}" for word in beside]
+        alone = alone.withColumns(
+            {f"w_{w}": F.array_contains(_near_words(), w).cast("double") for w in beside}
+        )
+        alone = materialize(alone, "by-form")
+        sure = F.when(F.col("by_form") >= SURE_AT, 1).when(F.col("by_form") <= 1 - SURE_AT, 0)
+        taught = alone.withColumn("label", sure).filter("label is not null")
+        around = [*AROUND, *near]
+        sample = materialize(_different(taught, around), "second-sample")
+        both = _scored(alone, sample, around, "by_context")
+        if both is None:
+            scored = alone.withColumn("score", F.col("by_form"))
+        else:
+            share = sample.agg(F.avg("label")).first()[0]
+            odds = _odds(F.col("by_form")) + _odds(F.col("by_context")) - _odds(F.lit(share))
+            scored = both.withColumn("score", 1 / (1 + F.exp(-odds)))
+    # The header of a private key is one, however few the forests have seen.
+    score = F.when(F.col("candidate").rlike(f"^{PEM}$"), F.lit(1.0)).otherwise(F.col("score"))
+    return scored.withColumn("score", score).select(
         "doc_id",
         F.col("start").cast("long").alias("start"),
         F.char_length("candidate").cast("long").alias("length"),
