@@ -1,7 +1,9 @@
 """Learned operators, chat windows, URL templates and secrets on small tables."""
 
 import hashlib
+import math
 import random
+import re
 
 import numpy as np
 import public_tokenizers
@@ -485,3 +487,125 @@ def test_likely_transitions_are_those_of_words():
     pair = lambda a, b: table[(ord(a) - 96) * 27 + ord(b) - 96]
     assert pair("t", "h") > pair("z", "q") > pair("h", "z")
     assert len(table) == 27 * 27
+
+
+def _tree(pages_of_host):
+    """Templates of one host's pages (segments, label or None), the rule step by step."""
+    u = url_templates
+    out = {}
+
+    def differs(l, b, whole_l, whole_b):
+        rate = whole_b / max(whole_l, 1)
+        return l >= u.MIN_LABELLED and (b - l * rate) ** 2 > u.SIGNIFICANT**2 * l * rate * (1 - rate)
+
+    def counts(rows):
+        known = [label for _, _, label in rows if label is not None]
+        return len(known), sum(known)
+
+    def mask(segment):
+        return re.sub("[0-9]+", "#", segment)
+
+    def split(rows, template, depth):
+        l, b = counts(rows)
+        if l < u.MIN_LABELLED or b in (0, l):
+            for page, segments, _ in rows:
+                out[page] = template + "/*" * max(0, len(segments) - depth)
+            return
+        for page, segments, _ in rows:
+            if len(segments) <= depth:
+                out[page] = template
+        rows = [r for r in rows if len(r[1]) > depth]
+        by_raw = {}
+        for r in rows:
+            by_raw.setdefault(r[1][depth], []).append(r)
+        by_form = {}
+        for segment in by_raw:
+            by_form.setdefault(mask(segment), []).append(segment)
+        own, grouped, rest = set(), set(), []
+        for form, members in by_form.items():
+            n = {m: counts(by_raw[m]) for m in members}
+            whole = [sum(x) for x in zip(*n.values())]
+            numbered = [m for m in members if m != form]
+            apart = {m for m in numbered if differs(*n[m], *whole)}
+            remain = [sum(x) for x in zip((0, 0), *(n[m] for m in members if m not in apart))]
+            as_group = remain[0] >= u.MIN_LABELLED and differs(*remain, l, b)
+            if as_group:
+                grouped.add(form)
+            own |= apart
+            if not as_group:
+                own |= {m for m in numbered if differs(*n[m], l, b)}
+                left = [sum(x) for x in zip((0, 0), *(n[m] for m in members if m not in own))]
+                if left[0]:
+                    rest.append((form, *left))
+        sides = {}
+        all_l, all_b = sum(r[1] for r in rest), sum(r[2] for r in rest)
+        if 0 < all_b < all_l:
+            rate = all_b / all_l
+            chi = sum((y - x * rate) ** 2 / (x * rate * (1 - rate)) for _, x, y in rest)
+            free = len(rest) - 1
+            if chi - free > u.SCATTER * math.sqrt(2 * free):
+                for name, is_bad in (("/*bad", True), ("/*good", False)):
+                    members = [r for r in rest if (r[2] / r[1] > rate) == is_bad]
+                    if differs(sum(r[1] for r in members), sum(r[2] for r in members), l, b):
+                        sides.update({r[0]: name for r in members})
+        children = {}
+        for r in rows:
+            segment = r[1][depth]
+            if segment in own:
+                branch = "/" + segment
+            elif mask(segment) in grouped:
+                branch = "/" + mask(segment)
+            else:
+                branch = sides.get(mask(segment), "/*")
+            children.setdefault(branch, []).append(r)
+        for branch, own_rows in children.items():
+            split(own_rows, template + branch, depth + 1)
+
+    split(pages_of_host, "", 0)
+    return out
+
+
+def test_url_trees_equal_the_rule_step_by_step(spark):
+    rng = random.Random(31)
+    urls, known, hosts, number = [], [], {}, 0
+    for h in range(200):
+        words = [f"{w}{d}" for w in "abcd" for d in ("", "1", "2")][: rng.randint(2, 12)]
+        bias = {}
+        for _ in range(rng.choice([10, 40, 120])):
+            depth = rng.choice([0, 1, 2, 2, 3])
+            segments = [rng.choice(words) for _ in range(depth)]
+            if h % 3 == 0 or rng.random() < 0.3:  # sections with a few labels each
+                segments = [f"s{rng.choice('abcdefghijklmnopqrst')}x"] + segments[:1]
+            number += 1
+            # A page's own number is a level too; the labels hang on it.
+            path = [*segments, f"p{number}"]
+            rate = 0.3
+            for i in range(len(segments)):
+                drawn = rng.choice([rate, rate, 0.02, 0.02, 0.98])
+                rate = bias.setdefault(tuple(segments[: i + 1]), drawn)
+            label = int(rng.random() < rate) if rng.random() < 0.85 else None
+            if label is not None:
+                known.append((number, 1 - label, 0))
+            hosts.setdefault(f"h{h}.org", []).append((number, path, label))
+            urls.append((number, f"http://h{h}.org/{'/'.join(path)}"))
+    rows = url_templates.judge(pages(spark, urls), labels(spark, known), []).collect()
+    found = {r.page_id: r.template for r in rows}
+    expected = {}
+    for rows_of_host in hosts.values():
+        expected.update(_tree(rows_of_host))
+    assert found == expected
+    kinds = {t.split("/")[-2] for t in expected.values() if t.count("/") > 1}
+    assert {"*bad", "*good"} <= kinds and {"a#", "a1"} & kinds
+
+
+def test_small_bad_sections_are_blocked_together(spark):
+    urls, known = [], []
+    for section in range(36):
+        for page in range(12):
+            number = section * 100 + page
+            urls.append((number, f"http://x.org/{chr(97 + section % 26)}{'q' * (section // 26)}/p{number}"))
+            if page < 7:
+                known.append((number, int(section >= 10), 0))
+    rows = url_templates.judge(pages(spark, urls), labels(spark, known), []).collect()
+    assert {r.page_id // 100 for r in rows if r.verdict == "block"} == set(range(10))
+    assert sum(r.verdict == "block" for r in rows) == 120

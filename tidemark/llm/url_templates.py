@@ -2,8 +2,13 @@
 
 Level by level, a node's children with MIN_LABELLED labelled pages whose share of bad
 pages differs significantly from the node's stay branches of their own, however many
-siblings there are; the others are merged into one wildcard. Digits in segments become
-#, but a segment that differs from the others of its form stays as it is. A node closes
+siblings there are. The others are merged: into one wildcard if their shares are
+statistically alike (a chi-square test of homogeneity over the siblings), and if not,
+into one group of those with a larger share of bad pages than the others together and
+one of those with a smaller share, each of which is a branch if it differs from the node.
+So many small bad sections are blocked together though none has labels enough alone.
+Digits in segments become #, but a segment that differs from the others of its form
+stays as it is. A node closes
 if its labels are all alike or fewer than MIN_LABELLED, as no child can differ there;
 what is left of its paths is wildcards. Only labelled pages decide, by their counts.
 A template is blocked if its purity, the share of good labelled pages smoothed
@@ -32,6 +37,8 @@ MAX_BRANCHES = 24
 # A child with fewer labelled pages never stays a branch of its own.
 MIN_LABELLED = 8
 SIGNIFICANT = 1.96
+# Deviations by which siblings have to scatter more than chance to be kept apart.
+SCATTER = 3.0
 SMOOTHING = 4.0
 PURITY = 0.5
 
@@ -91,8 +98,9 @@ def _named(sums: DataFrame, whole: str) -> DataFrame:
     return sums.withColumnsRenamed({c: f"{whole}_{c}" for c in ("labelled", "bad")})
 
 
-def _branches(known: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Children that stay branches: segments with their digits, and masked ones.
+def _branches(known: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Children that stay branches: segments with their digits, masked ones, and groups
+    of the others (masked, with their `side`).
 
     `known` has the labelled pages of open nodes: host, template, segment, masked,
     labelled, bad. A numbered segment stays if it differs from those of its masked
@@ -126,7 +134,35 @@ def _branches(known: DataFrame) -> tuple[DataFrame, DataFrame]:
         .filter(F.col("apart") | (F.col("off") & F.col("as_group").isNull()))
         .select(*node, "segment", F.lit(True).alias("as_own"))
     )
-    return materialize(own, "branches"), masked
+    own = materialize(own, "branches")
+    return own, masked, materialize(_sides(raw, own, masked, nodes), "branches")
+
+
+def _sides(raw: DataFrame, own: DataFrame, masked: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Children that are no branches of their own, by the group they are merged into.
+
+    Only counts of a node's children are summed, so its tasks hold a few rows each.
+    """
+    node, group = ["host", "template"], ["host", "template", "masked"]
+    left = raw.join(own, [*node, "segment"], "left_anti").join(masked, group, "left_anti")
+    units = _sums(left, *group).filter(F.col("labelled") > 0)
+    wholes = _named(_sums(units, *node), "rest")
+    rate = F.col("rest_bad") / F.col("rest_labelled")
+    spread = F.pow(F.col("bad") - F.col("labelled") * rate, F.lit(2.0))
+    spread = spread / (F.col("labelled") * rate * (1 - rate))
+    uneven = (
+        units.join(wholes, node)
+        .filter("rest_bad > 0 and rest_bad < rest_labelled")
+        .groupBy(*node, "rest_labelled", "rest_bad")
+        .agg(F.sum(spread).alias("chi"), (F.count(F.lit(1)) - 1).alias("free"))
+        .filter(F.col("chi") - F.col("free") > SCATTER * F.sqrt(2 * F.col("free")))
+    )
+    side = F.when(F.col("bad") / F.col("labelled") > rate, "/*bad").otherwise("/*good")
+    sided = units.join(uneven, node).select(*group, "labelled", "bad", side.alias("side"))
+    apart = (
+        _sums(sided, *node, "side").join(nodes, node).filter(_differs("node")).select(*node, "side")
+    )
+    return sided.join(apart, [*node, "side"]).select(*group, "side")
 
 
 def templates(shaped: DataFrame, labels: DataFrame) -> DataFrame:
@@ -178,16 +214,17 @@ def templates(shaped: DataFrame, labels: DataFrame) -> DataFrame:
         )
         if here.filter("segment <> ''").isEmpty():
             break
-        own, masked = _branches(here.filter("labelled > 0"))
+        own, masked, sides = _branches(here.filter("labelled > 0"))
         branch = (
             F.when(F.col("as_own"), F.concat(F.lit("/"), "segment"))
             .when(F.col("as_group"), F.concat(F.lit("/"), "masked"))
-            .otherwise(F.lit("/*"))
+            .otherwise(F.coalesce("side", F.lit("/*")))
         )
         tree = materialize(
             here.filter("segment <> ''")
             .join(own, [*node, "segment"], "left")
             .join(masked, [*node, "masked"], "left")
+            .join(sides, [*node, "masked"], "left")
             .withColumn("template", F.concat("template", branch))
             .select(*pages, "segments", "labelled", "bad", "template"),
             "templates",
