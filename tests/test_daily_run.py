@@ -15,7 +15,7 @@ from tidemark.plans.daily_run import (
 )
 from tidemark.sources import payloads as pay
 from tidemark.sources.calendar import dim_calendar, write_calendar_csv
-from tidemark.streaming.ingest import load_quote_files, load_series_files
+from tidemark.streaming.ingest import load_quote_files, load_series_files, read_reports
 
 START = dt.date(2024, 1, 1)
 
@@ -140,6 +140,7 @@ def test_stream_takes_each_file_once(spark, tmp_path):
             warehouse.path("raw/market_prices"),
             str(tmp_path / "checkpoint-quotes"),
             run_ts,
+            reports=str(tmp_path / "reports"),
         ).awaitTermination()
         load_series_files(
             spark,
@@ -147,6 +148,7 @@ def test_stream_takes_each_file_once(spark, tmp_path):
             warehouse.path("raw/bacen_series"),
             str(tmp_path / "checkpoint-series"),
             run_ts,
+            reports=str(tmp_path / "reports"),
         ).awaitTermination()
 
     land(tmp_path / "in", 0, 10)
@@ -156,3 +158,13 @@ def test_stream_takes_each_file_once(spark, tmp_path):
     stamps = warehouse.prices.groupBy("ingested_at").count().collect()
     assert sorted((r.ingested_at.day, r["count"]) for r in stamps) == [(11, 10), (21, 30)]
     assert warehouse.series.count() == 60
+    found = sorted(
+        (r.stream.split("-")[-1], r.batch, r.table_rows, r.batch_rows, r.batch_keys)
+        for r in read_reports(spark, str(tmp_path / "reports")).collect()
+    )
+    assert found == [
+        ("quotes", 0, 20, 20, 2),
+        ("quotes", 1, 40, 30, 2),
+        ("series", 0, 30, 30, 3),
+        ("series", 1, 60, 45, 3),
+    ]
