@@ -25,11 +25,42 @@ def bacen_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(derive_bacen_series(spark, sf_dir), "bacen-series")
 
 
+# Bars whose first and last orders are broadcast, a few dozen MB at most.
+_SENT_BARS = 250_000
+
+
 def derive_market_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily bars: brands as tickers, line items as trades in a total order."""
+    """Daily bars: brands as tickers, line items as trades in a total order.
+
+    The least and greatest of whole trades would sort all of them. So a first pass keeps
+    numbers only, among them the first and the last order of each bar, and a second one
+    compares the trades of just these orders.
+    """
     parts = table(spark, sf_dir, "part").select("p_partkey", F.col("p_brand").alias("ticker"))
-    trades = table(spark, sf_dir, "lineitem").join(parts, F.col("l_partkey") == F.col("p_partkey"))
+    lines = table(spark, sf_dir, "lineitem").withColumn("date", F.col("l_shipdate").cast("date"))
+
+    def trades(of_lines: DataFrame) -> DataFrame:
+        return of_lines.join(parts, F.col("l_partkey") == F.col("p_partkey"))
+
     px = F.col("l_extendedprice") / F.col("l_quantity")
+    order, tax = F.col("l_orderkey"), F.col("l_tax")
+    totals = trades(lines).groupBy("ticker", "date").agg(
+        # A missing order comes before all others.
+        F.when(~F.bool_or(order.isNull()), F.min(order)).alias("first_order"),
+        F.max(order).alias("last_order"),
+        F.max(px).alias("high"),
+        F.min(px).alias("low"),
+        F.sum("l_quantity").cast("bigint").alias("volume"),
+        F.max(F.when(tax >= 0.08, tax).when(tax > 0, 0.0)).alias("dividends"),
+        F.count_if(F.col("l_returnflag") == "R").alias("returned"),
+    )
+    totals = materialize(totals, "bar-totals")
+    ends = totals.select(
+        F.col("date").alias("_date"), F.explode(F.array("first_order", "last_order")).alias("_order")
+    )
+    if totals.count() <= _SENT_BARS:
+        ends = F.broadcast(ends)
+    at_ends = order.eqNullSafe(F.col("_order")) & F.col("date").eqNullSafe(F.col("_date"))
     trade = F.struct(
         "l_orderkey",
         "l_linenumber",
@@ -42,16 +73,13 @@ def derive_market_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag",
         "l_linestatus",
     )
-    tax = F.col("l_tax")
-    bars = trades.groupBy("ticker", F.col("l_shipdate").cast("date").alias("date")).agg(
-        F.min(trade).alias("first"),
-        F.max(trade).alias("last"),
-        F.max(px).alias("high"),
-        F.min(px).alias("low"),
-        F.sum("l_quantity").cast("bigint").alias("volume"),
-        F.max(F.when(tax >= 0.08, tax).when(tax > 0, 0.0)).alias("dividends"),
-        F.count_if(F.col("l_returnflag") == "R").alias("returned"),
+    outer = (
+        trades(lines.join(ends, at_ends, "left_semi"))
+        .groupBy(F.col("ticker").alias("_ticker"), F.col("date").alias("_date"))
+        .agg(F.min(trade).alias("first"), F.max(trade).alias("last"))
     )
+    same_bar = F.col("ticker").eqNullSafe(F.col("_ticker")) & F.col("date").eqNullSafe(F.col("_date"))
+    bars = totals.join(outer, same_bar)
     first_returned = (F.col("first.l_returnflag") == "R").cast("int")
     brand_digit = F.substring("ticker", -1, 1)
     return bars.select(
